@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barrio.functions.casts import col_or_null, quoted
-from barrio.functions.keys import year_from_file
+from barrio.functions.keys import FILE_NAME_YEAR_PATTERN, FOLDER_YEAR_PATTERN, first_year
 
 # Incident header spellings -> canonical column.  Tried in this
 # order; the first spelling contained in the stripped header wins
@@ -115,14 +115,26 @@ def rename_first_present(df: DataFrame, candidates: Sequence[str], target: str)
 
 
 def with_year(df: DataFrame, file_name: Column | None = None, file_path: Column | None = None,
-              year_col: str = "year") -> DataFrame:
-    """Keep a present year column (cast), else recover the year from the
-    file base name, then from a ``year_YYYY`` folder.  Decided per schema."""
+              year_col: str = "year", name_pattern: str | None = FILE_NAME_YEAR_PATTERN,
+              folder_pattern: str | None = FOLDER_YEAR_PATTERN) -> DataFrame:
+    r"""Keep a present year column (cast), else recover the year from the
+    file base name, then from the folder.  Decided per schema, not per row.
+
+    Pass ``name_pattern=None`` for writer-named files (``part-00000-...``),
+    whose digits are not years, and ``folder_pattern=r"year=(\d{4})"`` for
+    Hive-style folders.
+    """
     if year_col in df.columns:
         return df.withColumn(year_col, F.col(quoted(year_col)).try_cast("int"))
     fname = file_name if file_name is not None else F.col("_metadata.file_name")
     fpath = file_path if file_path is not None else F.col("_metadata.file_path")
-    return df.withColumn(year_col, year_from_file(fname, fpath))
+    options = []
+    if name_pattern:
+        options.append(first_year(fname, name_pattern))
+    if folder_pattern:
+        options.append(first_year(fpath, folder_pattern))
+    year = F.coalesce(*options) if len(options) > 1 else (options[0] if options else F.lit(None).cast("int"))
+    return df.withColumn(year_col, year)
 
 
 def conform(df: DataFrame, types: Mapping[str, str] = INCIDENT_TYPES, keep_extra: bool = True) -> DataFrame:
@@ -132,3 +144,18 @@ def conform(df: DataFrame, types: Mapping[str, str] = INCIDENT_TYPES, keep_extra
     if keep_extra:
         cols += [F.col(quoted(c)) for c in df.columns if c not in types]
     return df.select(*cols)
+
+
+def union_flexible(frames: Sequence[DataFrame], types: Mapping[str, str] | None = None) -> DataFrame:
+    """Union files whose columns differ, by name; a column missing from
+    one side is null there.  Shared columns named in ``types`` are cast
+    (``try_cast``) first so the union does not widen them to string."""
+    if not frames:
+        raise ValueError("no frames")
+    types = dict(types or {})
+    cast = [df.select(*[(F.col(quoted(c)).try_cast(types[c]) if c in types else F.col(quoted(c))).alias(c)
+                        for c in df.columns]) for df in frames]
+    out = cast[0]
+    for df in cast[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out

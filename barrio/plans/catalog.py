@@ -41,4 +41,4 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from barrio.plans import queries_core, queries_format  # noqa: F401
+    from barrio.plans import queries_core, queries_format, queries_sources  # noqa: F401
