@@ -34,7 +34,7 @@ def yearly_supplier_metrics(spark: SparkSession, d: str, before: str | None = No
         F.round(F.sum(net), 4).alias("usedAmount"),
         F.round(F.avg(F.try_divide(net, F.col("l_quantity"))), 4).alias("usedPerMeter"),
         F.round(F.nullif(F.sum(returned), F.lit(0.0)), 4).alias("diffAmount"),
-        F.round(F.avg("l_discount"), 4).alias("diffPerMeter"),
+        F.round(F.sum("l_discount"), 2).alias("diffPerMeter"),
     )
 
 

@@ -28,7 +28,7 @@ FLAT_PRICES = """
                round(sum(l_extendedprice * (1.0 - l_discount)), 4) AS usedAmount,
                round(nullif(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END), 0.0), 4)
                  AS diffAmount,
-               round(avg(l_discount), 4) AS diffPerMeter
+               round(sum(l_discount), 2) AS diffPerMeter
         FROM lineitem {where} GROUP BY 1, 2) y ON s.s_suppkey = y.l_suppkey
 """
 
