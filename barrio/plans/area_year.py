@@ -14,6 +14,11 @@ Mapping (the source data is neighbourhood prices, incidents and sites):
 Facts are pre-aggregated at the entity grain (supplier x year, customer x
 year) before the dimension joins: a hot supplier or customer collapses
 map-side, and the joins move one row per entity-year, not per fact.
+
+No broadcast hints: the planner broadcasts a side only when its size
+(file statistics at plan time, shuffle statistics under AQE at run time)
+is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges beyond
+it, so ``nation`` is broadcast while a 10^9-row ``supplier`` is not.
 """
 
 from __future__ import annotations
@@ -23,7 +28,6 @@ from pyspark.sql import functions as F
 
 from barrio.functions.keys import norm_key
 from barrio.operators import aggregates as agg
-from barrio.operators.joins import bounded_broadcast
 from barrio.operators.unify import join_coverage, unified_model
 from barrio.plans.tables import table
 
@@ -36,8 +40,7 @@ VICTIM_UNIT = 100000.0
 
 
 def nations(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation").select("n_nationkey", norm_key("n_name").alias("join_neigh"))
-    return bounded_broadcast(n, max_rows=10_000)
+    return table(spark, d, "nation").select("n_nationkey", norm_key("n_name").alias("join_neigh"))
 
 
 def price_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +89,7 @@ def site_records(spark: SparkSession, d: str) -> DataFrame:
             .select("c_custkey", "c_nationkey"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     return (cust.join(first, cust.c_custkey == first.o_custkey, "left")
-                .join(bounded_broadcast(n, 10_000), F.col("c_nationkey") == F.col("n_nationkey"))
+                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("c_custkey").alias("register_id"),
                         F.col("n_name").alias("neighborhood_name"), "created"))
 

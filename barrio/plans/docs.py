@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.operators.joins import bounded_broadcast
 from barrio.plans.tables import table
 
 ADDRESS_YEAR_FROM, ADDRESS_YEAR_TO = "1998-01-01", "1999-01-01"
@@ -44,7 +43,7 @@ def price_docs(spark: SparkSession, d: str, before: str | None = None) -> DataFr
                      "diffAmount", "diffPerMeter")
     hist = y.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(entry)).alias("info"))
     supp = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nat = bounded_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"), 10_000)
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     return (supp.join(nat, supp.s_nationkey == nat.n_nationkey)
                 .join(hist, supp.s_suppkey == hist.l_suppkey, "left")
                 .select(F.col("s_suppkey").alias("_id"), F.col("s_nationkey").alias("district_id"),
