@@ -65,10 +65,19 @@ def last_entry(history: Column) -> Column:
     return F.try_element_at(history, F.lit(-1))
 
 
-def projection(history: Column, key: Column, end_year: int = DEFAULT_END_YEAR,
-               variance: float = DEFAULT_VARIANCE, seed: int = 42,
+def _prepared(docs: DataFrame, key: str, info: str) -> DataFrame:
+    """History, last entry and trends as plain columns, computed once per row,
+    so the per-year lambda below only reads fields."""
+    hist = docs.withColumn("_hist", normalized_history(docs, info))
+    h = F.col("_hist")
+    return hist.select("*", last_entry(h).alias("_last"), F.col(key).cast("string").alias("_key"),
+                       *[trend(h, m).alias(f"_t_{m}") for m in SERIES_METRICS])
+
+
+def projection(end_year: int = DEFAULT_END_YEAR, variance: float = DEFAULT_VARIANCE, seed: int = 42,
                secondary_threshold: float = SECONDARY_THRESHOLD) -> Column:
-    """The entries for ``last year + 1 .. end_year``.
+    """The entries for ``last year + 1 .. end_year`` (over the columns
+    of ``_prepared``).
 
     Each year: ``v = round(prev + trend + noise, 1)``, stored as
     ``max(0, v)``, and the next year starts from the stored value.  Secondary
@@ -77,8 +86,8 @@ def projection(history: Column, key: Column, end_year: int = DEFAULT_END_YEAR,
     rerun -- or a recomputed partition -- gives the same numbers.
     ``variance=0`` and ``secondary_threshold=1`` give the deterministic form.
     """
-    last = last_entry(history)
-    trends = {m: trend(history, m) for m in SERIES_METRICS}
+    last = F.col("_last")
+    key = F.col("_key")
     last_year = last["year"]
     years = F.when(last_year.isNotNull() & (F.lit(end_year) > last_year),
                    F.sequence(last_year + 1, F.lit(end_year))) \
@@ -93,16 +102,15 @@ def projection(history: Column, key: Column, end_year: int = DEFAULT_END_YEAR,
         return uniform(key, y, F.lit(tag), seed=seed)
 
     def step(acc: Column, y: Column) -> Column:
-        noisy = {m: jitter(acc[m] + trends[m], variance, u(y, m)) for m in SERIES_METRICS}
+        noisy = {m: jitter(acc[m] + F.col(f"_t_{m}"), variance, u(y, m)) for m in SERIES_METRICS}
         keep = u(y, "secondary") > F.lit(float(secondary_threshold))
-        secondary = {
-            s: F.when(keep, py_round(jitter(noisy[p] * F.lit(SECONDARY_FACTOR), SECONDARY_VARIANCE,
-                                            u(y, s)), 1))
-            for s, p in SECONDARY_METRICS}
-        stored = {m: F.greatest(F.lit(0.0), noisy[m]) for m in SERIES_METRICS}
-        entry = F.struct(y.alias("year"), *[stored[m].alias(m) for m in SERIES_METRICS],
-                         *[secondary[s].alias(s) for s, _ in SECONDARY_METRICS])
-        return F.struct(*[stored[m].alias(m) for m in SERIES_METRICS],
+        entry = F.struct(
+            y.alias("year"),
+            *[F.greatest(F.lit(0.0), noisy[m]).alias(m) for m in SERIES_METRICS],
+            *[F.when(keep, py_round(jitter(noisy[p] * F.lit(SECONDARY_FACTOR), SECONDARY_VARIANCE,
+                                           u(y, s)), 1)).alias(s)
+              for s, p in SECONDARY_METRICS])
+        return F.struct(*[entry[m].alias(m) for m in SERIES_METRICS],
                         F.concat(acc["out"], F.array(entry)).alias("out"))
 
     return F.aggregate(years, start, step, lambda acc: acc["out"])
@@ -112,18 +120,18 @@ def extend_history(docs: DataFrame, end_year: int = DEFAULT_END_YEAR, key: str =
                    info: str = "info", variance: float = DEFAULT_VARIANCE, seed: int = 42,
                    secondary_threshold: float = SECONDARY_THRESHOLD) -> DataFrame:
     """Each document's history followed by its projected years."""
-    hist = normalized_history(docs, info)
-    proj = projection(hist, F.col(key).cast("string"), end_year, variance, seed, secondary_threshold)
-    return docs.withColumn(info, F.concat(hist, proj))
+    p = _prepared(docs, key, info)
+    proj = projection(end_year, variance, seed, secondary_threshold)
+    return p.withColumn(info, F.concat(F.col("_hist"), proj)).select(*docs.columns)
 
 
 def projected_rows(docs: DataFrame, end_year: int = DEFAULT_END_YEAR, key: str = "_id",
                    info: str = "info", variance: float = DEFAULT_VARIANCE, seed: int = 42,
                    secondary_threshold: float = SECONDARY_THRESHOLD) -> DataFrame:
     """Only the projected entries, one row per (key, year)."""
-    hist = normalized_history(docs, info)
-    proj = projection(hist, F.col(key).cast("string"), end_year, variance, seed, secondary_threshold)
-    return docs.select(F.col(key), F.explode(proj).alias("_p")).select(key, "_p.*")
+    p = _prepared(docs, key, info)
+    proj = projection(end_year, variance, seed, secondary_threshold)
+    return p.select(F.col(key), F.explode(proj).alias("_p")).select(key, "_p.*")
 
 
 def series_trends(docs: DataFrame, key: str = "_id", info: str = "info") -> DataFrame:
