@@ -29,6 +29,7 @@ from barrio.plans.tables import table
 from barrio.session import scratch_path
 
 PRICE = "average_price_per_square_meter"
+ROWS_PER_PARTITION = 10_000
 
 
 def order_frame(spark: SparkSession, d: str) -> DataFrame:
@@ -51,7 +52,14 @@ class Prepared:
 
 
 def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR) -> Prepared:
-    """Split by key hash, place class cuts and fit preparation on train only."""
+    """Split by key hash, place class cuts and fit preparation on train only.
+
+    The joined frame is checkpointed first: the sketch, the indexer and
+    scaler fits and both transforms then read it instead of re-running the
+    joins behind it.
+    """
+    frame = frame.checkpoint(eager=True)
+    rows = frame.count()
     train_raw, val_raw = stable_split(frame, keys)
     _, cuts = label_by_quantiles(train_raw, PRICE, relative_error=relative_error)
     from barrio.operators.label import class_of
@@ -59,8 +67,16 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
     train_l, val_l = lab(train_raw), lab(val_raw)
     prep = feature_pipeline().fit(train_l)
     cols = [*keys, "features", LABEL]
-    train = with_folds(prep.transform(train_l).select(*cols), keys).checkpoint(eager=True).cache()
-    val = prep.transform(val_l).select(*cols).checkpoint(eager=True).cache()
+    # About ROWS_PER_PARTITION training rows per task, up to the session's
+    # parallelism: AQE may have coalesced a small result into one partition
+    # (every fit one task), while too many tiny tasks make iterative fits
+    # scheduling-bound.
+    spark = frame.sparkSession
+    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
+    train = (with_folds(prep.transform(train_l).select(*cols), keys)
+             .repartition(n, *keys).checkpoint(eager=True).cache())
+    val = prep.transform(val_l).select(*cols).repartition(n, *keys).checkpoint(eager=True).cache()
     return Prepared(train, val, prep, cuts)
 
 
