@@ -51,8 +51,11 @@ class Prepared:
     cuts: list[float]
 
 
-def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR) -> Prepared:
-    """Split by key hash, place class cuts and fit preparation on train only.
+def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR,
+            fit_on_all_rows: bool = False) -> Prepared:
+    """Split by key hash, place class cuts and fit preparation on train only
+    (``fit_on_all_rows=True`` reproduces fitting cuts, index and scaler on
+    every row before the split, as the source pipeline does).
 
     The joined frame is checkpointed first: the sketch, the indexer and
     scaler fits and both transforms then read it instead of re-running the
@@ -61,11 +64,12 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
     frame = frame.checkpoint(eager=True)
     rows = frame.count()
     train_raw, val_raw = stable_split(frame, keys)
-    _, cuts = label_by_quantiles(train_raw, PRICE, relative_error=relative_error)
+    fit_rows = frame if fit_on_all_rows else train_raw
+    _, cuts = label_by_quantiles(fit_rows, PRICE, relative_error=relative_error)
     from barrio.operators.label import class_of
     lab = lambda df: df.filter(F.col(PRICE).isNotNull()).withColumn(LABEL, class_of(F.col(PRICE), cuts))
     train_l, val_l = lab(train_raw), lab(val_raw)
-    prep = feature_pipeline().fit(train_l)
+    prep = feature_pipeline().fit(lab(fit_rows))
     cols = [*keys, "features", LABEL]
     # About ROWS_PER_PARTITION training rows per task, up to the session's
     # parallelism: AQE may have coalesced a small result into one partition

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barrio.functions.keys import resource_year
-from barrio.operators.forecast import SERIES_METRICS, projected_rows, series_trends
+from barrio.operators.forecast import SERIES_METRICS, extend_history, projected_rows, series_trends
 from barrio.operators.label import label_by_quantiles
 from barrio.operators.models import FEATURES, TRAIN_ORDER, feature_pipeline, stable_split, with_split
 from barrio.operators.registry import (accuracy_report, champion, leaderboard, metrics_wide, register,
@@ -17,7 +17,8 @@ from barrio.plans.catalog import query, rounded
 from barrio.plans.tables import table
 from barrio.session import scratch_path
 from barrio.sources.ledger import first_resource, plan_resources
-from barrio.sources.sinks import write_partitioned
+from barrio.sources.files import read_jsonl
+from barrio.sources.sinks import write_jsonl, write_partitioned
 
 PRICE = "average_price_per_square_meter"
 
@@ -116,6 +117,35 @@ def project_years(spark, d):
                           secondary_threshold=1.0)
 
 
+@query("extended_history_jsonl", f"""
+  WITH RECURSIVE base AS ({TRENDS}),
+  proj(_id, year, {', '.join(SERIES_METRICS)}, {', '.join(f"t_{m}" for m in SERIES_METRICS)}) AS (
+    SELECT _id, last_year + 1,
+           {', '.join(f"greatest(0.0, round_even(l_{m} + trend_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"trend_{m}" for m in SERIES_METRICS)}
+    FROM base WHERE last_year IS NOT NULL AND last_year < {PROJECT_TO}
+    UNION ALL
+    SELECT _id, year + 1,
+           {', '.join(f"greatest(0.0, round_even({m} + t_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"t_{m}" for m in SERIES_METRICS)}
+    FROM proj WHERE year < {PROJECT_TO})
+  SELECT _id, year, {', '.join(SERIES_METRICS)} FROM proj
+  UNION ALL
+  SELECT s.s_suppkey AS _id, y.year, {', '.join(f"y.{m}" for m in SERIES_METRICS)}
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN ({YEARLY}) y ON s.s_suppkey = y.l_suppkey
+""")
+def extended_history_jsonl(spark, d):
+    """U2 + K8 + S10: histories extended to 2005 (no noise), written as JSON
+    Lines, scanned back with the document schema and flattened."""
+    ext = extend_history(docs.price_docs(spark, d), end_year=PROJECT_TO, variance=0.0,
+                         secondary_threshold=1.0)
+    path = scratch_path(spark, "extended-history")
+    write_jsonl(ext, path)
+    back = read_jsonl(spark, path, ext.schema)
+    return back.select("_id", F.explode("info").alias("e")).select(
+        "_id", "e.year", *[F.col(f"e.{m}").alias(m) for m in SERIES_METRICS])
+
+
 @query("project_years_noisy")
 def project_years_noisy(spark, d):
     """Projection to 2025 with +-7.5% noise and 70% secondary metrics."""

@@ -45,9 +45,10 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "year",
     """K5: overwrite a table partitioned by ``partition_col``.
 
     Rows are clustered by (partition value, hash bucket) first, so each
-    partition gets ``files_per_partition`` files instead of one small file
-    per task; raising the bucket count spreads a hot partition value over
-    more writer tasks.  Plain overwrite replaces the schema too.
+    partition gets up to ``files_per_partition`` files instead of one small
+    file per task; raising the bucket count spreads a hot partition value
+    over more writer tasks (AQE merges buckets back when they are small).
+    Plain overwrite replaces the schema too.
     """
     buckets: list[Column] = [F.col(quoted(partition_col))]
     if files_per_partition > 1:

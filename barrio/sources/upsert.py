@@ -34,7 +34,11 @@ def merge_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-           version: Sequence[Column | str], partition_col: str | None = None) -> None:
+           version: Sequence[Column | str], partition_col: str | None = None) -> bool:
+    """Merge ``batch`` into the table at ``path``; False when the batch was
+    empty (F3 probe: nothing is rewritten)."""
+    if batch.isEmpty():
+        return False
     cur = _existing(spark, path)
     if cur is not None and partition_col is not None:
         touched = batch.select(partition_col).distinct()
@@ -48,3 +52,4 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     else:
         w = w.option("partitionOverwriteMode", "static")
     w.parquet(path)
+    return True

@@ -67,3 +67,10 @@ def test_join_coverage(spark):
 def test_max_per_group(spark):
     df = spark.createDataFrame([("f", 2019), ("f", 2021), ("g", None)], "f string, year int")
     assert rows(max_per_group(df, ["f"], "year")) == [("f", 2021), ("g", None)]
+
+
+def test_site_totals_null_skipping_variant(spark):
+    sites = spark.createDataFrame([("a", "2000-01-01"), ("a", None)], "neighborhood_name string, created string")
+    keep = site_totals(sites, dt.date(2001, 1, 1)).first()["average_antiquity_cultural_sites"]
+    skip = site_totals(sites, dt.date(2001, 1, 1), skip_missing_dates=True).first()["average_antiquity_cultural_sites"]
+    assert abs(keep - (366 / 365) / 2) < 1e-12 and abs(skip - 366 / 365) < 1e-12

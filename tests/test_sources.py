@@ -90,3 +90,40 @@ def test_catalog_plan(spark, tmp):
     assert rows(plan_resources(cat, landed), "id") == [("r1",), ("r4",)]
     cat2 = cat.withColumn("ds", F.lit("acc")).withColumn("pos", F.monotonically_increasing_id())
     assert rows(first_resource(cat2, "ds", "pos")) == [("acc", "r1")]
+
+
+RESULTS_CSV = """model,metric,value,training_time
+Decision Tree,Accuracy,0.768595,72.907664
+Decision Tree,Recall,0.768595,72.907664
+Random Forest,Accuracy,0.690083,136.004502
+Random Forest,Recall,0.690083,136.004502
+Logistic Regression,Accuracy,0.623967,160.040482
+"""
+
+
+def test_results_csv_scan_and_report(spark, tmp):
+    from barrio.operators.registry import accuracy_report, metrics_wide
+    from barrio.sources.files import read_csv
+    _put(f"{tmp}/results.csv", RESULTS_CSV)
+    res = read_csv(spark, f"{tmp}/results.csv",
+                   schema="model string, metric string, value double, training_time double")
+    rep = accuracy_report(res).collect()
+    assert [r["model"] for r in rep] == ["Decision Tree", "Random Forest", "Logistic Regression"]
+    assert abs(rep[0]["axis_max"] - 0.968595) < 1e-9
+    wide = {r["model"]: r for r in metrics_wide(res).collect()}
+    assert wide["Logistic Regression"]["Recall"] is None and wide["Decision Tree"]["Recall"] == 0.768595
+
+
+def test_write_partitioned_spreads_files(spark, tmp):
+    from barrio.sources.sinks import write_partitioned
+    df = spark.range(1000).selectExpr("id", "CAST(2000 + id % 2 AS INT) AS year")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        write_partitioned(df, f"{tmp}/p", "year", files_per_partition=4)
+    finally:
+        spark.conf.set(key, "true")
+    files = [f for f in os.listdir(f"{tmp}/p/year=2000") if f.endswith(".parquet")]
+    assert 1 < len(files) <= 4
+    back = spark.read.parquet(f"{tmp}/p")
+    assert back.count() == 1000 and back.schema["year"].dataType.simpleString() == "int"
