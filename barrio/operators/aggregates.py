@@ -103,8 +103,7 @@ def site_totals(sites: DataFrame, as_of: str | dt.date, skip_missing_dates: bool
     """
     area = ("addresses_neighborhood_name" if "addresses_neighborhood_name" in sites.columns
             else "neighborhood_name")
-    created = col_or_null(sites, "created", "string") if "created" in sites.columns else None
-    age = antiquity_years(F.col("created"), as_of) if created is not None else F.lit(0.0)
+    age = antiquity_years(F.col("created"), as_of) if "created" in sites.columns else F.lit(0.0)
     keyed = sites.select(norm_key(col_or_null(sites, area, "string")).alias("join_neigh"),
                          age.alias("_age"))
     mean_age = F.avg("_age") if skip_missing_dates else F.avg(F.coalesce("_age", F.lit(0.0)))

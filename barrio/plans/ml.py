@@ -20,16 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barrio.functions.keys import norm_key
-from barrio.operators.label import DEFAULT_RELATIVE_ERROR, label_by_quantiles
+from barrio.operators.label import DEFAULT_RELATIVE_ERROR, class_of, label_by_quantiles
 from barrio.operators.models import (LABEL, TRAIN_ORDER, TuneResult, feature_pipeline, stable_split,
-                                     tune, with_folds)
+                                     task_count, tune, with_folds)
 from barrio.operators.registry import save_model
 from barrio.plans import area_year as ay
 from barrio.plans.tables import table
 from barrio.session import scratch_path
 
 PRICE = "average_price_per_square_meter"
-ROWS_PER_PARTITION = 10_000
 
 
 def order_frame(spark: SparkSession, d: str) -> DataFrame:
@@ -49,6 +48,7 @@ class Prepared:
     validation: DataFrame
     prep: PipelineModel
     cuts: list[float]
+    rows: int
 
 
 def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR,
@@ -66,22 +66,25 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
     train_raw, val_raw = stable_split(frame, keys)
     fit_rows = frame if fit_on_all_rows else train_raw
     _, cuts = label_by_quantiles(fit_rows, PRICE, relative_error=relative_error)
-    from barrio.operators.label import class_of
-    lab = lambda df: df.filter(F.col(PRICE).isNotNull()).withColumn(LABEL, class_of(F.col(PRICE), cuts))
+
+    def lab(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(PRICE).isNotNull()).withColumn(LABEL, class_of(F.col(PRICE), cuts))
+
     train_l, val_l = lab(train_raw), lab(val_raw)
     prep = feature_pipeline().fit(lab(fit_rows))
     cols = [*keys, "features", LABEL]
-    # About ROWS_PER_PARTITION training rows per task, up to the session's
-    # parallelism: AQE may have coalesced a small result into one partition
-    # (every fit one task), while too many tiny tasks make iterative fits
-    # scheduling-bound.
-    spark = frame.sparkSession
-    cap = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n = max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
+    # Stored at the finest task size any family wants (AQE may have
+    # coalesced a small result into one partition: every fit one task);
+    # ``tuned`` coalesces, without a shuffle, for the coarser families.
+    n = task_count(rows, "random_forest", _cap(frame.sparkSession))
     train = (with_folds(prep.transform(train_l).select(*cols), keys)
              .repartition(n, *keys).checkpoint(eager=True).cache())
     val = prep.transform(val_l).select(*cols).repartition(n, *keys).checkpoint(eager=True).cache()
-    return Prepared(train, val, prep, cuts)
+    return Prepared(train, val, prep, cuts, rows)
+
+
+def _cap(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 _MEMO: dict[tuple, object] = {}
@@ -100,9 +103,10 @@ def tuned(spark: SparkSession, d: str, family: str) -> tuple[TuneResult, str]:
     key = ("tuned", id(spark), d, family)
     if key not in _MEMO:
         p = prepared_orders(spark, d)
-        res = tune(family, p.train, p.validation)
-        from pyspark.ml import PipelineModel as PM
-        full = PM(stages=[*p.prep.stages, *res.model.stages])
+        n = task_count(p.rows, family, _cap(spark))
+        train = p.train.coalesce(n) if n < p.train.rdd.getNumPartitions() else p.train
+        res = tune(family, train, p.validation)
+        full = PipelineModel(stages=[*p.prep.stages, *res.model.stages])
         path = save_model(full, scratch_path(spark, f"model-{family}"))
         _MEMO[key] = (res, path)
     return _MEMO[key]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from barrio.plans import area_year as ay
 from barrio.plans import sql
 from barrio.plans.catalog import query, rounded
