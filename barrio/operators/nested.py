@@ -29,14 +29,16 @@ def _entry_fields(df: DataFrame, array_col: str) -> set[str]:
     return set()
 
 
-def format_prices(docs: DataFrame, last_year: int | Column | None = None) -> DataFrame:
+def format_prices(docs: DataFrame, last_year: int | Column | None = None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Landing price documents -> one typed row per (area, year).
 
     P1 area-name spelling, F1 watermark (``year > last_year``; a column
     allows one watermark per document), G1 inner explode (null or empty
     histories vanish), P2 typed field extraction, D3 ``_id = area-year``.
     The watermark is applied to the array *before* the explode, where the
-    generated rows cannot take a pushed filter.
+    generated rows cannot take a pushed filter.  ``keep`` names document
+    columns carried onto every row (e.g. the file of origin).
     """
     df = rename_first_present(docs, AREA_NAME_SPELLINGS, "neighborhood_name")
     fields = _entry_fields(df, "info")
@@ -56,6 +58,7 @@ def format_prices(docs: DataFrame, last_year: int | Column | None = None) -> Dat
         col_or_null(flat, "neighborhood_name", "string").alias("neighborhood_name"),
         field("year").try_cast("int").alias("year"),
         *[field(src).try_cast("double").alias(dst) for src, dst in PRICE_METRICS],
+        *[flat[k] for k in keep],
     )
     if last_year is not None:
         out = out.filter(F.col("year").isNotNull())

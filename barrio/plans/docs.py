@@ -21,24 +21,33 @@ from barrio.plans.tables import table
 ADDRESS_YEAR_FROM, ADDRESS_YEAR_TO = "1998-01-01", "1999-01-01"
 
 
-def yearly_supplier_metrics(spark: SparkSession, d: str, before: str | None = None) -> DataFrame:
+def yearly_supplier_metrics(spark: SparkSession, d: str, before: str | None = None,
+                            digits: int | None = 4) -> DataFrame:
     li = table(spark, d, "lineitem")
     if before is not None:
         li = li.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     net = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")).otherwise(F.lit(0.0))
+
+    def r(c):
+        return F.round(c, digits) if digits is not None else c
+
     return li.groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg(
-        F.round(F.avg(F.try_divide("l_extendedprice", "l_quantity")), 4).alias("PerMeter"),
-        F.round(F.sum("l_extendedprice"), 4).alias("Amount"),
-        F.round(F.sum(net), 4).alias("usedAmount"),
-        F.round(F.avg(F.try_divide(net, F.col("l_quantity"))), 4).alias("usedPerMeter"),
-        F.round(F.nullif(F.sum(returned), F.lit(0.0)), 4).alias("diffAmount"),
+        r(F.avg(F.try_divide("l_extendedprice", "l_quantity"))).alias("PerMeter"),
+        r(F.sum("l_extendedprice")).alias("Amount"),
+        r(F.sum(net)).alias("usedAmount"),
+        r(F.avg(F.try_divide(net, F.col("l_quantity")))).alias("usedPerMeter"),
+        r(F.nullif(F.sum(returned), F.lit(0.0))).alias("diffAmount"),
         F.round(F.sum("l_discount"), 2).alias("diffPerMeter"),
     )
 
 
-def price_docs(spark: SparkSession, d: str, before: str | None = None) -> DataFrame:
-    y = yearly_supplier_metrics(spark, d, before)
+def price_docs(spark: SparkSession, d: str, before: str | None = None, area: str = "supplier",
+               digits: int | None = 4) -> DataFrame:
+    """One history per supplier; its area name is the supplier's own name or,
+    with ``area="nation"``, its nation's name.  Metrics rounded to ``digits``
+    (None keeps full precision)."""
+    y = yearly_supplier_metrics(spark, d, before, digits)
     entry = F.struct("year", "PerMeter", "Amount", "usedAmount", "usedPerMeter",
                      "diffAmount", "diffPerMeter")
     hist = y.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(entry)).alias("info"))
@@ -47,7 +56,8 @@ def price_docs(spark: SparkSession, d: str, before: str | None = None) -> DataFr
     return (supp.join(nat, supp.s_nationkey == nat.n_nationkey)
                 .join(hist, supp.s_suppkey == hist.l_suppkey, "left")
                 .select(F.col("s_suppkey").alias("_id"), F.col("s_nationkey").alias("district_id"),
-                        F.col("n_name").alias("district_name"), F.col("s_name").alias("neigh_name "),
+                        F.col("n_name").alias("district_name"),
+                        F.col("n_name" if area == "nation" else "s_name").alias("neigh_name "),
                         "info"))
 
 

@@ -128,9 +128,10 @@ def read_drifting_csv(spark: SparkSession, paths: str | Sequence[str],
     for i, v in enumerate(variants):
         raw = read_csv(spark, list(v["files"]), delimiter=v["delimiter"], encoding=v["encoding"])
         raw = raw.select("*", F.col("_metadata.file_path").alias("_file_path"),
-                         F.col("_metadata.file_name").alias("_file_name"))
-        plan, dropped = header_plan([c for c in raw.columns if c not in ("_file_path", "_file_name")],
-                                    mapping)
+                         F.col("_metadata.file_name").alias("_file_name"),
+                         F.col("_metadata.file_modification_time").alias("_file_mtime"))
+        meta = ("_file_path", "_file_name", "_file_mtime")
+        plan, dropped = header_plan([c for c in raw.columns if c not in meta], mapping)
         missing = [r for r in required if r not in {t for _, t in plan}]
         for f in v["files"]:
             report_rows.append((f, i, v["delimiter"], v["encoding"],
@@ -139,7 +140,7 @@ def read_drifting_csv(spark: SparkSession, paths: str | Sequence[str],
                                 ",".join(dropped) or None))
         if missing:
             continue
-        df = raw.select(*[F.col(quoted(s)).alias(t) for s, t in plan], "_file_path", "_file_name")
+        df = raw.select(*[F.col(quoted(s)).alias(t) for s, t in plan], *meta)
         df = with_year(df, F.col("_file_name"), F.col("_file_path"),
                        name_pattern=name_pattern, folder_pattern=folder_pattern)
         frames.append(conform(df, types))

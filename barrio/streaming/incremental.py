@@ -44,4 +44,4 @@ def incremental_load(spark: SparkSession, landing: str, ledger_path: str, table_
                .select("path", "mtime", "last_year", F.coalesce("rows", F.lit(0)).alias("rows"),
                        F.lit("ok").alias("status"), F.current_timestamp().alias("processed_at")))
     append_ledger(entries, ledger_path)
-    return read_ledger(spark, ledger_path).join(listed.select("path"), "path", "left_semi")
+    return read_ledger(spark, ledger_path).join(listed, ["path", "mtime"], "left_semi")
