@@ -21,6 +21,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barrio.functions.noise import hash32
+
 # Features, label, split, folds and grids of the source model search.
 FEATURES = ("neighborhood_index", "year", "accident_deaths", "number_injured_lleus",
             "number_injured_greu", "number_accident_victims", "number_of_accidents",
@@ -67,7 +69,7 @@ def feature_pipeline(category: str = CATEGORY, features: Sequence[str] = FEATURE
 
 def _bucket(keys: Sequence[str | Column], seed: int, buckets: int) -> Column:
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(buckets))
+    return F.pmod(hash32(*cols, seed=seed), F.lit(buckets))
 
 
 def stable_split(df: DataFrame, keys: Sequence[str | Column], train_fraction: float = TRAIN_FRACTION,

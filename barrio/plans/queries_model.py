@@ -146,7 +146,48 @@ def extended_history_jsonl(spark, d):
         "_id", "e.year", *[F.col(f"e.{m}").alias(m) for m in SERIES_METRICS])
 
 
-@query("project_years_noisy")
+def _u(key: str, year: str, tag: str, seed: int = 42) -> str:
+    return (f"(CAST(('0x' || substr(md5(concat_ws('|', CAST({key} AS VARCHAR), CAST({year} AS VARCHAR), "
+            f"'{tag}', '{seed}')), 1, 8)) AS BIGINT) / 4294967296.0)")
+
+
+def _noisy(prev: str, trend: str, key: str, year: str, tag: str) -> str:
+    v = f"({prev} + {trend})"
+    return f"round_even({v} + {v} * 0.15 * ({_u(key, year, tag)} - 0.5), 1)"
+
+
+def _secondary(noisy: str, key: str, year: str, tag: str) -> str:
+    x = f"({noisy} * 1.1)"
+    return (f"CASE WHEN {_u(key, year, 'secondary')} > 0.3 THEN "
+            f"round_even(round_even({x} + {x} * 0.2 * ({_u(key, year, tag)} - 0.5), 1), 1) END")
+
+
+def _noisy_step(src: str, year: str) -> str:
+    """SELECT list of one projection year from ``src`` columns (prev values)."""
+    cols = []
+    for m in SERIES_METRICS:
+        cols.append(f"greatest(0.0, {_noisy(src.format(m=m), f't_{m}', '_id', year, m)}) AS {m}")
+    cols.append(f"{_secondary(_noisy(src.format(m='Amount'), 't_Amount', '_id', year, 'Amount'), '_id', year, 'diffAmount')} AS diffAmount")
+    cols.append(f"{_secondary(_noisy(src.format(m='PerMeter'), 't_PerMeter', '_id', year, 'PerMeter'), '_id', year, 'diffPerMeter')} AS diffPerMeter")
+    return ", ".join(cols)
+
+
+NOISY_TO = 2025
+
+
+@query("project_years_noisy", f"""
+  WITH RECURSIVE base AS (
+    SELECT _id, last_year, {', '.join(f"l_{m}, trend_{m} AS t_{m}" for m in SERIES_METRICS)} FROM ({TRENDS}) q),
+  proj(_id, year, {', '.join(SERIES_METRICS)}, diffAmount, diffPerMeter, {', '.join(f"t_{m}" for m in SERIES_METRICS)}) AS (
+    SELECT _id, last_year + 1, {_noisy_step("l_{m}", "last_year + 1")},
+           {', '.join(f"t_{m}" for m in SERIES_METRICS)}
+    FROM base WHERE last_year IS NOT NULL AND last_year < {NOISY_TO}
+    UNION ALL
+    SELECT _id, year + 1, {_noisy_step("{m}", "year + 1")},
+           {', '.join(f"t_{m}" for m in SERIES_METRICS)}
+    FROM proj WHERE year < {NOISY_TO})
+  SELECT _id, year, {', '.join(SERIES_METRICS)}, diffAmount, diffPerMeter FROM proj
+""")
 def project_years_noisy(spark, d):
     """Projection to 2025 with +-7.5% noise and 70% secondary metrics."""
     return projected_rows(docs.price_docs(spark, d))
@@ -260,7 +301,12 @@ def standardize_features(spark, d):
     return rounded(out)
 
 
-@query("stable_split")
+@query("stable_split", f"""
+  SELECT neighborhood_name, year,
+         CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', neighborhood_name, CAST(year AS VARCHAR), '42')), 1, 8))
+                        AS BIGINT) % 10000 < 7000 THEN 'train' ELSE 'validation' END AS split
+  FROM ({sql.UNIFIED}) u
+""")
 def stable_split_query(spark, d):
     """M6: train/validation membership of each area x year row (key hash)."""
     return with_split(ay.unified(spark, d), ["neighborhood_name", "year"]).select(
