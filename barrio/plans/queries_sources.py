@@ -143,14 +143,15 @@ def incremental_files(spark, d):
 """)
 def upsert_last_write_wins(spark, d):
     """A second batch re-states open orders; the newer version wins
-    and only the years it touches are rewritten."""
+    and only the (year, key bucket) partitions it touches are rewritten."""
     o, oy = _orders_with_year(spark, d)
     path = scratch_path(spark, "upsert-orders")
-    upsert(spark, oy.withColumn("version", F.lit(1)), path, ["o_orderkey"], ["version"], "year")
+    upsert(spark, oy.withColumn("version", F.lit(1)), path, ["o_orderkey"], ["version"], "year",
+           key_buckets=16)
     b2 = (oy.filter(F.col("o_orderstatus") == "O")
             .withColumn("o_totalprice", F.col("o_totalprice") * 2)
             .withColumn("version", F.lit(2)))
-    upsert(spark, b2, path, ["o_orderkey"], ["version"], "year")
+    upsert(spark, b2, path, ["o_orderkey"], ["version"], "year", key_buckets=16)
     return spark.read.parquet(path).select(*o.columns, "year", "version")
 
 

@@ -5,7 +5,10 @@ reduced to the newest row per key (skew-safe aggregate, see dedupe).  The
 merged rows are checkpointed to the shared checkpoint folder -- that cuts
 the lineage back to the files about to be replaced -- and written with a
 dynamic partition overwrite, so untouched partitions are never rewritten.
-The partition column must be fixed per key (e.g. the year of an order).
+Partition columns must be fixed per key (e.g. the year of an order).
+Adding ``key_bucket`` (a hash of the key) as a last partition level makes
+a batch rewrite only the buckets its keys fall in -- 1/n of a year instead
+of the whole year -- which is what keeps upserts cheap on a 100 TB table.
 Not atomic on plain parquet: a crash mid-write is repaired by re-running
 the same batch, which is why ledgers are appended after the write.
 """
@@ -15,10 +18,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from barrio.functions.noise import hash32
 from barrio.operators.dedupe import latest
 
+BUCKET_COL = "_key_bucket"
+
+
+def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int, out: str = BUCKET_COL) -> DataFrame:
+    """A stable hash bucket of the key, for use as the last partition level."""
+    return df.withColumn(out, F.pmod(hash32(*[F.col(k) for k in keys], seed=0), F.lit(buckets)).cast("int"))
+
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -34,21 +46,27 @@ def merge_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-           version: Sequence[Column | str], partition_col: str | None = None) -> bool:
+           version: Sequence[Column | str], partition_col: str | Sequence[str] | None = None,
+           key_buckets: int | None = None) -> bool:
     """Merge ``batch`` into the table at ``path``; False when the batch was
-    empty (F3 probe: nothing is rewritten)."""
+    empty (F3 probe: nothing is rewritten).  ``key_buckets`` adds a
+    ``_key_bucket`` partition level (after ``partition_col``)."""
     if batch.isEmpty():
         return False
+    parts = [partition_col] if isinstance(partition_col, str) else list(partition_col or [])
+    if key_buckets:
+        batch = with_key_bucket(batch, keys, key_buckets)
+        parts.append(BUCKET_COL)
     cur = _existing(spark, path)
-    if cur is not None and partition_col is not None:
-        touched = batch.select(partition_col).distinct()
-        cur = cur.join(touched, partition_col, "left_semi")
+    if cur is not None and parts:
+        touched = batch.select(*parts).distinct()
+        cur = cur.join(touched, parts, "left_semi")
     merged = merge_latest(cur, batch, keys, version)
     if cur is not None:
         merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")
-    if partition_col is not None:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    if parts:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     else:
         w = w.option("partitionOverwriteMode", "static")
     w.parquet(path)
