@@ -147,11 +147,11 @@ def upsert_last_write_wins(spark, d):
     o, oy = _orders_with_year(spark, d)
     path = scratch_path(spark, "upsert-orders")
     upsert(spark, oy.withColumn("version", F.lit(1)), path, ["o_orderkey"], ["version"], "year",
-           key_buckets=16)
+           key_buckets=4)
     b2 = (oy.filter(F.col("o_orderstatus") == "O")
             .withColumn("o_totalprice", F.col("o_totalprice") * 2)
             .withColumn("version", F.lit(2)))
-    upsert(spark, b2, path, ["o_orderkey"], ["version"], "year", key_buckets=16)
+    upsert(spark, b2, path, ["o_orderkey"], ["version"], "year", key_buckets=4)
     return spark.read.parquet(path).select(*o.columns, "year", "version")
 
 
