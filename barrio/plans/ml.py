@@ -50,6 +50,11 @@ class Prepared:
     cuts: list[float]
     rows: int
 
+    def release(self) -> None:
+        """Drop the cached training frames (checkpoint files stay for reruns)."""
+        self.train.unpersist()
+        self.validation.unpersist()
+
 
 def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR,
             fit_on_all_rows: bool = False) -> Prepared:

@@ -32,7 +32,8 @@ def incremental_load(spark: SparkSession, landing: str, ledger_path: str, table_
         return spark.createDataFrame([], LEDGER_SCHEMA)
     batch = (read_jsonl(spark, [f["path"] for f in files], schema)
              .withColumn("_src_path", F.col("_metadata.file_path"))
-             .withColumn("_src_mtime", F.col("_metadata.file_modification_time")))
+             .withColumn("_src_mtime", F.col("_metadata.file_modification_time"))
+             .checkpoint(eager=True))      # one parse of the raw files (upsert + stats)
     upsert(spark, batch, table_path, keys,
            version or [F.col("_src_mtime"), F.col("_src_path")], partition_col)
     last = F.max(year_col).cast("int") if year_col else F.lit(None).cast("int")

@@ -10,8 +10,10 @@ each an incremental Spark job over folders:
     extend_history_files   price histories -> histories projected to a target year
 
 Every format stage: list files (S6) -> anti-join the ledger (F2) -> read
-only those files -> flatten / map / dedupe -> keyed upsert (K4) -> append
-the ledger (K7) after the write.  Within and across runs the newest file
+only those files -> flatten / map / dedupe -> checkpoint the batch once
+(the upsert, its empty probe and the per-file ledger stats all read it: one
+parse of the raw files, T7) -> keyed upsert (K4) -> append the ledger (K7)
+after the write.  Within and across runs the newest file
 wins for a key (version = file modification time, then path).  Each stage
 returns the ledger rows it appended (file, rows, last year, status).
 """
@@ -96,7 +98,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
     else:
         mark = F.lit(0)
     flat = format_prices(docs.withColumn("_mark", mark), last_year=F.col("_mark"), keep=tuple(VERSION))
-    batch = latest(flat, ["_id"], VERSION)
+    batch = latest(flat, ["_id"], VERSION).checkpoint(eager=True)
     upsert(spark, batch, formatted, ["_id"], VERSION, "year")
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("year").alias("last_year"))
@@ -115,7 +117,7 @@ def format_incident_files(spark: SparkSession, landing: str, formatted: str, led
     batch = (res.data.filter(F.col("expedient_id").isNotNull())
              .withColumnRenamed("_file_path", "_src_path").withColumnRenamed("_file_mtime", "_src_mtime")
              .drop("_file_name"))
-    batch = latest(batch, ["expedient_id"], VERSION)
+    batch = latest(batch, ["expedient_id"], VERSION).checkpoint(eager=True)
     upsert(spark, batch, formatted, ["expedient_id"], VERSION)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("year").alias("last_year"))
@@ -138,7 +140,7 @@ def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger:
         raw = raw.drop("addresses")
     else:
         raw = raw.drop("addresses_neighborhood_name")
-    batch = latest(format_sites(raw), ["register_id"], VERSION)
+    batch = latest(format_sites(raw), ["register_id"], VERSION).checkpoint(eager=True)
     upsert(spark, batch, formatted, ["register_id"], VERSION)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.lit(None).cast("int").alias("last_year"))
