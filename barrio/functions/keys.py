@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The year patterns the source pipeline applies.
+# The year patterns the source jobs applies.
 #   resource url + name -> year of a published dataset (0 when absent)
 #   landed file base name -> first four digits
 #   landed file path -> folder written as year_YYYY

@@ -54,7 +54,7 @@ DISPLAY_NAMES = {"logistic_regression": "Logistic Regression", "random_forest":
                  "decision_tree": "Decision Tree"}
 
 
-def feature_pipeline(category: str = CATEGORY, features: Sequence[str] = FEATURES,
+def feature_prep(category: str = CATEGORY, features: Sequence[str] = FEATURES,
                      out: str = "features") -> Pipeline:
     """M2-M4: frequency index of the area (unseen areas kept in an extra
     bucket), assemble, standardize (mean 0, sample sd 1)."""

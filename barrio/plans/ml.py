@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from barrio.functions.keys import norm_key
 from barrio.operators.label import DEFAULT_RELATIVE_ERROR, class_of, label_by_quantiles
-from barrio.operators.models import (LABEL, TRAIN_ORDER, TuneResult, feature_pipeline, stable_split,
+from barrio.operators.models import (LABEL, TRAIN_ORDER, TuneResult, feature_prep, stable_split,
                                      task_count, tune, with_folds)
 from barrio.operators.registry import save_model
 from barrio.plans import area_year as ay
@@ -60,7 +60,7 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
             fit_on_all_rows: bool = False) -> Prepared:
     """Split by key hash, place class cuts and fit preparation on train only
     (``fit_on_all_rows=True`` reproduces fitting cuts, index and scaler on
-    every row before the split, as the source pipeline does).
+    every row before the split, as the source jobs does).
 
     The joined frame is checkpointed first: the sketch, the indexer and
     scaler fits and both transforms then read it instead of re-running the
@@ -76,7 +76,7 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
         return df.filter(F.col(PRICE).isNotNull()).withColumn(LABEL, class_of(F.col(PRICE), cuts))
 
     train_l, val_l = lab(train_raw), lab(val_raw)
-    prep = feature_pipeline().fit(lab(fit_rows))
+    prep = feature_prep().fit(lab(fit_rows))
     cols = [*keys, "features", LABEL]
     # Stored at the finest task size any family wants (AQE may have
     # coalesced a small result into one partition: every fit one task);

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barrio.functions.keys import resource_year
 from barrio.operators.forecast import SERIES_METRICS, extend_history, projected_rows, series_trends
 from barrio.operators.label import label_by_quantiles
-from barrio.operators.models import FEATURES, TRAIN_ORDER, feature_pipeline, stable_split, with_split
+from barrio.operators.models import FEATURES, TRAIN_ORDER, feature_prep, stable_split, with_split
 from barrio.operators.registry import (accuracy_report, champion, leaderboard, metrics_wide, register,
                                        score)
 from barrio.plans import area_year as ay
@@ -294,7 +294,7 @@ def _z(c: str) -> str:
 def standardize_features(spark, d):
     """M3/M4: the nine model features of the unified table, standardized."""
     u = ay.unified(spark, d)
-    model = feature_pipeline().fit(u)
+    model = feature_prep().fit(u)
     arr = vector_to_array(F.col("features"))
     out = model.transform(u).select("neighborhood_name", "year",
                                     *[arr[i].alias(f"z_{c}") for i, c in enumerate(FEATURES)])

@@ -1,6 +1,6 @@
 """The zones end to end: landing files -> formatted tables -> exploitation.
 
-Stage functions with the shape of the source pipeline's public surface,
+Stage functions with the shape of the source jobs' public surface,
 each an incremental Spark job over folders:
 
     format_price_files     landing JSON Lines price histories -> formatted prices

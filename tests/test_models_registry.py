@@ -2,7 +2,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from barrio.operators.models import (classification_metrics, feature_pipeline, stable_split, tune,
+from barrio.operators.models import (classification_metrics, feature_prep, stable_split, tune,
                                      with_folds)
 from barrio.operators.registry import (accuracy_report, champion, leaderboard, metrics_wide, register,
                                        save_model, score)
@@ -45,7 +45,7 @@ def _frame(spark):
 def test_tune_small_grid_structure(spark, tmp):
     df = _frame(spark)
     tr, va = stable_split(df, ["k"])
-    prep = feature_pipeline().fit(tr)
+    prep = feature_prep().fit(tr)
     train = with_folds(prep.transform(tr), ["k"])
     res = tune("decision_tree", train, prep.transform(va), grid={"maxDepth": [2, 5]})
     assert res.grid_size == 2 and set(res.best_params) == {"maxDepth"}
