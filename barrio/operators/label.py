@@ -41,7 +41,7 @@ def label_by_quantiles(df: DataFrame, value: str, out: str = "price_category",
                        relative_error: float = DEFAULT_RELATIVE_ERROR) -> tuple[DataFrame, list[float]]:
     """M1: rows with a value, labelled by quantile class; returns the cuts.
 
-    Rows whose value is null are dropped here (the source jobs would put
+    Rows whose value is null are dropped here (the source code would put
     them in the top class).
     """
     cuts = quantile_cuts(df, value, probs, relative_error)

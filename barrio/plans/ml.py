@@ -60,7 +60,7 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
             fit_on_all_rows: bool = False) -> Prepared:
     """Split by key hash, place class cuts and fit preparation on train only
     (``fit_on_all_rows=True`` reproduces fitting cuts, index and scaler on
-    every row before the split, as the source jobs does).
+    every row before the split, as the source code does).
 
     The joined frame is checkpointed first: the sketch, the indexer and
     scaler fits and both transforms then read it instead of re-running the
