@@ -19,12 +19,16 @@ LEDGER_SCHEMA = ("path string, mtime timestamp, last_year int, rows bigint, "
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger, or an empty one when it is missing or unreadable (then
+    every file is processed again -- harmless behind the keyed upsert)."""
     try:
         df = spark.read.schema(LEDGER_SCHEMA).parquet(path)
         df.limit(1).collect()
         return df
     except AnalysisException:
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    except Exception:  # noqa: BLE001 -- a torn or foreign file: start over
+        return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def append_ledger(entries: DataFrame, path: str) -> None:

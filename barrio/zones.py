@@ -44,6 +44,7 @@ SITE_DOC_SCHEMA = (
     "register_id string, name string, created string, addresses_neighborhood_name string, "
     "addresses array<struct<neighborhood_name: string>>")
 VERSION = ["_src_mtime", "_src_path"]
+CORRUPT = "_corrupt_record"
 
 
 def _table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -79,6 +80,19 @@ def _with_source(df: DataFrame) -> DataFrame:
               .withColumn("_src_mtime", F.col("_metadata.file_modification_time")))
 
 
+def _read_lines(spark: SparkSession, paths: list[str], schema: str) -> tuple[DataFrame, DataFrame]:
+    """JSON Lines with malformed lines set aside (Q1/Q2): returns the good
+    rows (with their file of origin) and per-file malformed counts."""
+    # parsed once into the checkpoint; good rows and the malformed count
+    # both read it (a raw scan may not be queried for the corrupt column alone)
+    raw = _with_source(read_jsonl(spark, paths, f"{schema}, {CORRUPT} string", corrupt_col=CORRUPT)) \
+        .checkpoint(eager=True)
+    bad = (raw.filter(F.col(CORRUPT).isNotNull()).groupBy(F.col("_src_path").alias("path"))
+              .agg(F.concat(F.lit("ok, "), F.count(F.lit(1)).cast("string"), F.lit(" malformed lines"))
+                   .alias("status")))
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+
+
 def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger: str,
                        pattern: str = "*.json") -> DataFrame:
     """Prices: JSON Lines histories -> one row per (area id, year), ``_id =
@@ -87,7 +101,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
     files = _pending(spark, landing, ledger, pattern)
     if not files:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    docs = _with_source(read_jsonl(spark, [f["path"] for f in files], PRICE_DOC_SCHEMA))
+    docs, bad = _read_lines(spark, [f["path"] for f in files], PRICE_DOC_SCHEMA)
     docs = docs.withColumn("neigh_name ", F.coalesce(F.col("`neigh_name `"), F.col("neigh_name"))) \
                .drop("neigh_name")
     cur = _table(spark, formatted)
@@ -102,7 +116,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
     upsert(spark, batch, formatted, ["_id"], VERSION, "year")
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("year").alias("last_year"))
-    return _record(spark, files, stats, ledger)
+    return _record(spark, files, stats, ledger, bad)
 
 
 def format_incident_files(spark: SparkSession, landing: str, formatted: str, ledger: str,
@@ -133,9 +147,10 @@ def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger:
     if not files:
         return spark.createDataFrame([], LEDGER_SCHEMA)
     paths = [f["path"] for f in files]
-    raw = (read_json_documents(spark, paths, SITE_DOC_SCHEMA) if documents
-           else read_jsonl(spark, paths, SITE_DOC_SCHEMA))
-    raw = _with_source(raw)
+    if documents:
+        raw, bad = _with_source(read_json_documents(spark, paths, SITE_DOC_SCHEMA)), None
+    else:
+        raw, bad = _read_lines(spark, paths, SITE_DOC_SCHEMA)
     if raw.filter(F.col("addresses").isNotNull()).isEmpty():
         raw = raw.drop("addresses")
     else:
@@ -144,7 +159,7 @@ def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger:
     upsert(spark, batch, formatted, ["register_id"], VERSION)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.lit(None).cast("int").alias("last_year"))
-    return _record(spark, files, stats, ledger)
+    return _record(spark, files, stats, ledger, bad)
 
 
 def build_exploitation(spark: SparkSession, prices: str, incidents: str, sites: str, out: str,
