@@ -47,6 +47,11 @@ def normalized_history(df: DataFrame, info: str = "info") -> Column:
     return F.transform(F.col(info), entry)
 
 
+def _size(history: Column) -> Column:
+    """Entries in the history; 0 for null (size(null) is -1 with ANSI off)."""
+    return F.when(history.isNull(), F.lit(0)).otherwise(F.size(history))
+
+
 def trend(history: Column, field: str) -> Column:
     """Mean of consecutive differences (missing values count as 0.0);
     0.0 with fewer than two entries.
@@ -54,7 +59,7 @@ def trend(history: Column, field: str) -> Column:
     The differences telescope, so the mean is ``(last - first) / (n - 1)``:
     O(1) per row, and one rounding step instead of n.
     """
-    n = F.coalesce(F.size(history), F.lit(0))
+    n = _size(history)
     first = F.coalesce(F.try_element_at(history, F.lit(1))[field], F.lit(0.0))
     last = F.coalesce(F.try_element_at(history, F.lit(-1))[field], F.lit(0.0))
     return F.when(n >= 2, (last - first) / (n - 1)).otherwise(F.lit(0.0))
@@ -137,5 +142,5 @@ def projected_rows(docs: DataFrame, end_year: int = DEFAULT_END_YEAR, key: str =
 def series_trends(docs: DataFrame, key: str = "_id", info: str = "info") -> DataFrame:
     """One row per document with its history length and four trends."""
     hist = normalized_history(docs, info)
-    return docs.select(F.col(key), F.coalesce(F.size(hist), F.lit(0)).alias("n_years"),
+    return docs.select(F.col(key), _size(hist).alias("n_years"),
                        *[trend(hist, m).alias(f"trend_{m}") for m in SERIES_METRICS])
