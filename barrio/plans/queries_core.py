@@ -49,3 +49,22 @@ def site_totals_antiquity(spark, d):
 """)
 def join_coverage(spark, d):
     return ay.coverage(spark, d)
+
+
+@query("unified_with_flags", sql.round_cols(f"""
+  WITH p AS ({sql.PRICE_GROUPS}), a AS ({sql.INCIDENT_GROUPS}), c AS ({sql.SITE_GROUPS})
+  SELECT p.join_neigh AS neighborhood_name, p.year,
+         coalesce(CAST(a.neighborhood_code AS VARCHAR), 'UNKNOWN') AS neighborhood_code,
+         coalesce(a.number_of_accidents, 0) AS number_of_accidents,
+         coalesce(c.number_of_cultural_sites, 0) AS number_of_cultural_sites,
+         p.average_price_per_square_meter,
+         a.join_neigh IS NOT NULL AS has_accident_data, c.join_neigh IS NOT NULL AS has_culture_data
+  FROM p LEFT JOIN a ON p.join_neigh = a.join_neigh AND p.year = a.year
+         LEFT JOIN c ON p.join_neigh = c.join_neigh
+""", ["average_price_per_square_meter"]))
+def unified_with_flags(spark, d):
+    """The unified model with flags telling "no record" from zero."""
+    u = ay.unified(spark, d, flags=True)
+    return rounded(u.select("neighborhood_name", "year", "neighborhood_code", "number_of_accidents",
+                            "number_of_cultural_sites", "average_price_per_square_meter",
+                            "has_accident_data", "has_culture_data"))
