@@ -23,6 +23,26 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Settings the library's plans assume on a cluster (100 TB class inputs).
+# Shuffle partitions are a ceiling: AQE coalesces toward the advisory size
+# and splits skewed partitions of joins; broadcasts stay size-checked.
+CLUSTER_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "barrio", extra: dict | None = None) -> SparkSession:
     """A local session with the defaults the library assumes (UTC, AQE, ANSI)."""
