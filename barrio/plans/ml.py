@@ -49,6 +49,7 @@ class Prepared:
     prep: PipelineModel
     cuts: list[float]
     rows: int
+    partitions: int
 
     def release(self) -> None:
         """Drop the cached training frames (checkpoint files stay for reruns)."""
@@ -85,7 +86,7 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
     train = (with_folds(prep.transform(train_l).select(*cols), keys)
              .repartition(n, *keys).checkpoint(eager=True).cache())
     val = prep.transform(val_l).select(*cols).repartition(n, *keys).checkpoint(eager=True).cache()
-    return Prepared(train, val, prep, cuts, rows)
+    return Prepared(train, val, prep, cuts, rows, n)
 
 
 def _cap(spark: SparkSession) -> int:
@@ -109,7 +110,7 @@ def tuned(spark: SparkSession, d: str, family: str) -> tuple[TuneResult, str]:
     if key not in _MEMO:
         p = prepared_orders(spark, d)
         n = task_count(p.rows, family, _cap(spark))
-        train = p.train.coalesce(n) if n < p.train.rdd.getNumPartitions() else p.train
+        train = p.train.coalesce(n) if n < p.partitions else p.train
         res = tune(family, train, p.validation)
         full = PipelineModel(stages=[*p.prep.stages, *res.model.stages])
         path = save_model(full, scratch_path(spark, f"model-{family}"))
