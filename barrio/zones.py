@@ -107,7 +107,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
     cur = _table(spark, formatted)
     if cur is not None:
         wm = cur.groupBy("neighborhood_id").agg(F.max("year").alias("_wm"))
-        docs = docs.join(wm, docs["_id"].cast("int") == wm["neighborhood_id"], "left").drop("neighborhood_id")
+        docs = docs.join(wm, docs["_id"].try_cast("int") == wm["neighborhood_id"], "left").drop("neighborhood_id")
         mark = F.coalesce(F.col("_wm"), F.lit(0))
     else:
         mark = F.lit(0)
