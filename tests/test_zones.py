@@ -75,3 +75,19 @@ def test_extend_history_files(spark, tmp):
     years = {r["_id"]: [e["year"] for e in (r["info"] or [])] for r in out.collect()}
     assert years[1] == [2019, 2020, 2021, 2022, 2023] and years[2] == [2019, 2020, 2021, 2022, 2023]
     assert years[3] == [] and years[4] == []
+
+
+def test_cli_stages(spark, tmp):
+    import contextlib
+    import io
+
+    from barrio.__main__ import main
+    _put(f"{tmp}/landing/prices/p.json", "\n".join(json.dumps(r) for r in PRICES) + "\n")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        main(["format-prices", "--landing", f"{tmp}/landing/prices", "--formatted", f"{tmp}/f/prices",
+              "--ledger", f"{tmp}/ledger/prices"])
+        main(["format-prices", "--landing", f"{tmp}/landing/prices", "--formatted", f"{tmp}/f/prices",
+              "--ledger", f"{tmp}/ledger/prices"])
+    first, second = [json.loads(line) for line in buf.getvalue().splitlines()]
+    assert first["files"] == 1 and first["entries"][0]["rows"] == 3 and second["files"] == 0
