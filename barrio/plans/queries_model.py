@@ -36,8 +36,10 @@ CLASSED = f"""
 
 def _classed(spark, d):
     # The area x year table is small and bounded (areas x years), so the
-    # cut points are exact here; row-level frames use the 0.01 sketch.
-    u = ay.unified(spark, d).select("neighborhood_name", "year", PRICE)
+    # cut points are exact here; row-level frames use the 0.01 sketch.  It is
+    # checkpointed once: the sketch and the labelling then both read it
+    # instead of re-running the lineitem/orders aggregates behind it.
+    u = ay.unified(spark, d).select("neighborhood_name", "year", PRICE).checkpoint(eager=True)
     labelled, _ = label_by_quantiles(u, PRICE, relative_error=0.0)
     return labelled
 
@@ -293,7 +295,7 @@ def _z(c: str) -> str:
 """)
 def standardize_features(spark, d):
     """M3/M4: the nine model features of the unified table, standardized."""
-    u = ay.unified(spark, d)
+    u = ay.unified(spark, d).checkpoint(eager=True)     # fits + transform read it once
     model = feature_prep().fit(u)
     arr = vector_to_array(F.col("features"))
     out = model.transform(u).select("neighborhood_name", "year",
