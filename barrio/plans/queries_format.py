@@ -9,13 +9,13 @@ from barrio.operators import aggregates as agg
 from barrio.operators.dedupe import keep_one
 from barrio.operators.nested import flatten_addresses, format_prices, format_sites
 from barrio.operators.normalize import INCIDENT_TYPES, conform, normalize_headers
-from barrio.plans import docs
+from barrio.plans import docs, sql
 from barrio.plans.catalog import query, rounded
 from barrio.plans.tables import table
 
 _METRICS = ["price_per_meter", "total_amount", "used_amount", "diff_amount", "diff_price_per_meter"]
 
-FLAT_PRICES = """
+FLAT_PRICES = f"""
   SELECT CAST(s.s_suppkey AS INTEGER) AS neighborhood_id, s.s_nationkey AS district_id,
          n.n_name AS district_name, s.s_name AS neighborhood_name, y.year,
          y.PerMeter AS price_per_meter, y.Amount AS total_amount, y.usedAmount AS used_amount,
@@ -23,13 +23,13 @@ FLAT_PRICES = """
          concat_ws('-', CAST(s.s_suppkey AS INTEGER), y.year) AS _id
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year,
-               round(avg(l_extendedprice / nullif(l_quantity, 0)), 4) AS PerMeter,
-               round(sum(l_extendedprice), 4) AS Amount,
-               round(sum(l_extendedprice * (1.0 - l_discount)), 4) AS usedAmount,
-               round(nullif(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END), 0.0), 4)
+               {sql.sround("avg(l_extendedprice / nullif(l_quantity, 0))", 4)} AS PerMeter,
+               {sql.sround("sum(l_extendedprice)", 4)} AS Amount,
+               {sql.sround("sum(l_extendedprice * (1.0 - l_discount))", 4)} AS usedAmount,
+               {sql.sround("nullif(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END), 0.0)", 4)}
                  AS diffAmount,
-               round(sum(l_discount), 2) AS diffPerMeter
-        FROM lineitem {where} GROUP BY 1, 2) y ON s.s_suppkey = y.l_suppkey
+               {sql.sround("sum(l_discount)", 2)} AS diffPerMeter
+        FROM lineitem {{where}} GROUP BY 1, 2) y ON s.s_suppkey = y.l_suppkey
 """
 
 
@@ -38,7 +38,7 @@ def _flat(where: str = "") -> str:
 
 
 @query("nested_flatten", f"SELECT * EXCLUDE ({', '.join(_METRICS)}), "
-       + ", ".join(f"round({m}, 4) AS {m}" for m in _METRICS) + f" FROM ({_flat()}) q")
+       + ", ".join(f"{sql.sround(m, 4)} AS {m}" for m in _METRICS) + f" FROM ({_flat()}) q")
 def nested_flatten(spark, d):
     return rounded(format_prices(docs.price_docs(spark, d)))
 
@@ -47,7 +47,7 @@ def nested_flatten(spark, d):
   WITH earlier AS ({_flat("WHERE l_shipdate < TIMESTAMP '1999-07-01'")}),
        ledger AS (SELECT neighborhood_id, max(year) AS last_year FROM earlier GROUP BY 1),
        cur AS ({_flat()})
-  SELECT cur.* EXCLUDE ({', '.join(_METRICS)}), {', '.join(f'round(cur.{m}, 4) AS {m}' for m in _METRICS)}
+  SELECT cur.* EXCLUDE ({', '.join(_METRICS)}), {', '.join(f'{sql.sround("cur." + m, 4)} AS {m}' for m in _METRICS)}
   FROM cur LEFT JOIN ledger USING (neighborhood_id)
   WHERE cur.year > coalesce(ledger.last_year, 0)
 """)

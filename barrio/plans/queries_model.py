@@ -45,7 +45,7 @@ def _classed(spark, d):
 
 
 @query("price_quantile_class", f"""
-  SELECT neighborhood_name, year, round(average_price_per_square_meter, 4) AS average_price_per_square_meter,
+  SELECT neighborhood_name, year, {sql.sround("average_price_per_square_meter", 4)} AS average_price_per_square_meter,
          price_category FROM ({CLASSED}) c
 """)
 def price_quantile_class(spark, d):
@@ -59,12 +59,12 @@ def class_counts(spark, d):
     return _classed(spark, d).groupBy("price_category").agg(F.count(F.lit(1)).alias("rows"))
 
 
-YEARLY = """
+YEARLY = f"""
   SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year,
-         round(avg(l_extendedprice / nullif(l_quantity, 0)), 4) AS PerMeter,
-         round(sum(l_extendedprice), 4) AS Amount,
-         round(sum(l_extendedprice * (1.0 - l_discount)), 4) AS usedAmount,
-         round(avg(l_extendedprice * (1.0 - l_discount) / nullif(l_quantity, 0)), 4) AS usedPerMeter
+         {sql.sround("avg(l_extendedprice / nullif(l_quantity, 0))", 4)} AS PerMeter,
+         {sql.sround("sum(l_extendedprice)", 4)} AS Amount,
+         {sql.sround("sum(l_extendedprice * (1.0 - l_discount))", 4)} AS usedAmount,
+         {sql.sround("avg(l_extendedprice * (1.0 - l_discount) / nullif(l_quantity, 0))", 4)} AS usedPerMeter
   FROM lineitem GROUP BY 1, 2
 """
 
@@ -86,7 +86,7 @@ TRENDS = f"""
 
 
 @query("trend_per_series", f"""
-  SELECT _id, n_years, {', '.join(f"round(trend_{m}, 6) AS trend_{m}" for m in SERIES_METRICS)}
+  SELECT _id, n_years, {', '.join(f"{sql.sround('trend_' + m, 6)} AS trend_{m}" for m in SERIES_METRICS)}
   FROM ({TRENDS}) q
 """)
 def trend_per_series(spark, d):
@@ -101,12 +101,12 @@ PROJECT_TO = 2005
   WITH RECURSIVE base AS ({TRENDS}),
   proj(_id, year, {', '.join(SERIES_METRICS)}, {', '.join(f"t_{m}" for m in SERIES_METRICS)}) AS (
     SELECT _id, last_year + 1,
-           {', '.join(f"greatest(0.0, round_even(l_{m} + trend_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"greatest(0.0, {sql.sbround(f'l_{m} + trend_{m}', 1)})" for m in SERIES_METRICS)},
            {', '.join(f"trend_{m}" for m in SERIES_METRICS)}
     FROM base WHERE last_year IS NOT NULL AND last_year < {PROJECT_TO}
     UNION ALL
     SELECT _id, year + 1,
-           {', '.join(f"greatest(0.0, round_even({m} + t_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"greatest(0.0, {sql.sbround(f'{m} + t_{m}', 1)})" for m in SERIES_METRICS)},
            {', '.join(f"t_{m}" for m in SERIES_METRICS)}
     FROM proj WHERE year < {PROJECT_TO})
   SELECT _id, year, {', '.join(SERIES_METRICS)},
@@ -123,12 +123,12 @@ def project_years(spark, d):
   WITH RECURSIVE base AS ({TRENDS}),
   proj(_id, year, {', '.join(SERIES_METRICS)}, {', '.join(f"t_{m}" for m in SERIES_METRICS)}) AS (
     SELECT _id, last_year + 1,
-           {', '.join(f"greatest(0.0, round_even(l_{m} + trend_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"greatest(0.0, {sql.sbround(f'l_{m} + trend_{m}', 1)})" for m in SERIES_METRICS)},
            {', '.join(f"trend_{m}" for m in SERIES_METRICS)}
     FROM base WHERE last_year IS NOT NULL AND last_year < {PROJECT_TO}
     UNION ALL
     SELECT _id, year + 1,
-           {', '.join(f"greatest(0.0, round_even({m} + t_{m}, 1))" for m in SERIES_METRICS)},
+           {', '.join(f"greatest(0.0, {sql.sbround(f'{m} + t_{m}', 1)})" for m in SERIES_METRICS)},
            {', '.join(f"t_{m}" for m in SERIES_METRICS)}
     FROM proj WHERE year < {PROJECT_TO})
   SELECT _id, year, {', '.join(SERIES_METRICS)} FROM proj
@@ -155,13 +155,13 @@ def _u(key: str, year: str, tag: str, seed: int = 42) -> str:
 
 def _noisy(prev: str, trend: str, key: str, year: str, tag: str) -> str:
     v = f"({prev} + {trend})"
-    return f"round_even({v} + {v} * 0.15 * ({_u(key, year, tag)} - 0.5), 1)"
+    return sql.sbround(f"{v} + {v} * 0.15 * ({_u(key, year, tag)} - 0.5)", 1)
 
 
 def _secondary(noisy: str, key: str, year: str, tag: str) -> str:
     x = f"({noisy} * 1.1)"
     return (f"CASE WHEN {_u(key, year, 'secondary')} > 0.3 THEN "
-            f"round_even(round_even({x} + {x} * 0.2 * ({_u(key, year, tag)} - 0.5), 1), 1) END")
+            f"{sql.sbround(sql.sbround(f'{x} + {x} * 0.2 * ({_u(key, year, tag)} - 0.5)', 1), 1)} END")
 
 
 def _noisy_step(src: str, year: str) -> str:
@@ -281,8 +281,9 @@ def index_categories(spark, d):
 
 
 def _z(c: str) -> str:
-    return (f"round(CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 "
-            f"ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END, 4) AS z_{c}")
+    z = (f"CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 "
+         f"ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END")
+    return f"{sql.sround(z, 4)} AS z_{c}"
 
 
 @query("standardize_features", f"""

@@ -1,5 +1,16 @@
 """Shared DuckDB SQL fragments for the oracle queries (mirror area_year)."""
 
+
+def sround(expr: str, digits: int) -> str:
+    """Spark's ``round`` (half up on the value's decimal text): DuckDB's own
+    ``round`` scales in binary and can land on a different side of a tie."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+def sbround(expr: str, digits: int) -> str:
+    """Spark's ``bround`` (half even on the value's decimal text)."""
+    return f"CAST(round_even(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
 PRICE_GROUPS = """
   SELECT lower(trim(n.n_name)) AS join_neigh, CAST(year(l.l_shipdate) AS INTEGER) AS year,
          avg(l.l_extendedprice / nullif(l.l_quantity, 0)) AS average_price_per_square_meter
@@ -62,6 +73,6 @@ UNIFIED = f"""
 
 def round_cols(sql: str, cols: list[str], digits: int = 4, keep: list[str] | None = None) -> str:
     """Wrap ``sql`` so the named float columns are rounded."""
-    sel = ", ".join([f"round({c}, {digits}) AS {c}" for c in cols])
+    sel = ", ".join([f"{sround(c, digits)} AS {c}" for c in cols])
     rest = "* EXCLUDE (" + ", ".join(cols) + ")"
     return f"SELECT {rest}, {sel} FROM ({sql}) q"
