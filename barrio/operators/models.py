@@ -39,6 +39,8 @@ GRIDS: dict[str, dict[str, list]] = {
     "decision_tree": {"maxDepth": [5, 10, 15, 20]},
 }
 TRAIN_ORDER = ("logistic_regression", "random_forest", "decision_tree")
+DISPLAY_NAMES = {"logistic_regression": "Logistic Regression", "random_forest": "Random Forest",
+                 "decision_tree": "Decision Tree"}
 
 # Training rows per task, by family (measured on local[8], 105k rows):
 # iterative fits with cheap passes (logistic regression: one aggregate per
@@ -49,13 +51,12 @@ ROWS_PER_TASK = {"logistic_regression": 50_000, "decision_tree": 35_000, "random
 
 
 def task_count(rows: int, family: str, cap: int) -> int:
+    """Tasks for ``rows`` training rows of ``family``, at most ``cap``."""
     return max(1, min(cap, -(-rows // ROWS_PER_TASK.get(family, 10_000))))
-DISPLAY_NAMES = {"logistic_regression": "Logistic Regression", "random_forest": "Random Forest",
-                 "decision_tree": "Decision Tree"}
 
 
 def feature_prep(category: str = CATEGORY, features: Sequence[str] = FEATURES,
-                     out: str = "features") -> Pipeline:
+                 out: str = "features") -> Pipeline:
     """M2-M4: frequency index of the area (unseen areas kept in an extra
     bucket), assemble, standardize (mean 0, sample sd 1)."""
     index_col = features[0]
