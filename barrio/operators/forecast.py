@@ -30,7 +30,9 @@ ENTRY_FIELDS = ("year",) + SERIES_METRICS + tuple(s for s, _ in SECONDARY_METRIC
 
 def _fields(df: DataFrame, info: str) -> set[str]:
     t = df.schema[info].dataType
-    return set(t.elementType.fieldNames()) if isinstance(t, ArrayType) and isinstance(t.elementType, StructType) else set()
+    if isinstance(t, ArrayType) and isinstance(t.elementType, StructType):
+        return set(t.elementType.fieldNames())
+    return set()
 
 
 def normalized_history(df: DataFrame, info: str = "info") -> Column:

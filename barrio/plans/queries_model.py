@@ -166,11 +166,12 @@ def _secondary(noisy: str, key: str, year: str, tag: str) -> str:
 
 def _noisy_step(src: str, year: str) -> str:
     """SELECT list of one projection year from ``src`` columns (prev values)."""
-    cols = []
-    for m in SERIES_METRICS:
-        cols.append(f"greatest(0.0, {_noisy(src.format(m=m), f't_{m}', '_id', year, m)}) AS {m}")
-    cols.append(f"{_secondary(_noisy(src.format(m='Amount'), 't_Amount', '_id', year, 'Amount'), '_id', year, 'diffAmount')} AS diffAmount")
-    cols.append(f"{_secondary(_noisy(src.format(m='PerMeter'), 't_PerMeter', '_id', year, 'PerMeter'), '_id', year, 'diffPerMeter')} AS diffPerMeter")
+    def noisy(m: str) -> str:
+        return _noisy(src.format(m=m), f"t_{m}", "_id", year, m)
+
+    cols = [f"greatest(0.0, {noisy(m)}) AS {m}" for m in SERIES_METRICS]
+    for secondary, primary in (("diffAmount", "Amount"), ("diffPerMeter", "PerMeter")):
+        cols.append(f"{_secondary(noisy(primary), '_id', year, secondary)} AS {secondary}")
     return ", ".join(cols)
 
 
