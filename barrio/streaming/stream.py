@@ -17,23 +17,27 @@ from pyspark.sql.types import StructType
 from barrio.sources.upsert import upsert
 
 
-def stream_upsert(spark: SparkSession, source_dir: str, schema: StructType, table_path: str,
+def stream_upsert(spark: SparkSession, source_dir: str, schema: StructType | str, table_path: str,
                   keys: Sequence[str], version: Sequence[Column | str], checkpoint: str,
                   partition_col: str | None = None, fmt: str = "json",
-                  max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> None:
-    """Drain everything available now into ``table_path`` and stop."""
+                  max_files_per_trigger: int | None = None, timeout_s: float | None = None,
+                  processing_time: str | None = None, key_buckets: int | None = None):
+    """Drain everything available now into ``table_path`` and stop; with
+    ``processing_time`` (e.g. ``"1 minute"``) keep running micro-batches and
+    return the ``StreamingQuery`` instead."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     source = reader.load(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        upsert(batch.sparkSession, batch, table_path, keys, version, partition_col)
+        upsert(batch.sparkSession, batch, table_path, keys, version, partition_col, key_buckets)
 
-    q = (source.writeStream.foreachBatch(apply)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+    writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return None
