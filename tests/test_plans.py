@@ -52,3 +52,17 @@ def test_hot_key_holding_a_third_of_rows(spark):
                     F.lit(2020).alias("year"), F.lit(1).alias("num_deaths"))
     got = {r["join_neigh"]: r["accident_deaths"] for r in incident_totals(acc).collect()}
     assert got == {"hot": n // 3, "cold": n - n // 3}
+
+
+def test_bounded_broadcast_hints_only_within_the_bound(spark):
+    from barrio.operators.joins import bounded_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # isolate the explicit hint
+    try:
+        big = spark.range(100_000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        hinted = plan_text(big.join(bounded_broadcast(small, max_rows=100), "k"), "simple")
+        unhinted = plan_text(big.join(bounded_broadcast(big.select("k"), max_rows=100), "k"), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
