@@ -1,0 +1 @@
+"""Scans, sinks, the processed-file ledger and the keyed upsert."""
