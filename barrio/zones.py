@@ -131,7 +131,9 @@ def format_incident_files(spark: SparkSession, landing: str, formatted: str, led
     batch = (res.data.filter(F.col("expedient_id").isNotNull())
              .withColumnRenamed("_file_path", "_src_path").withColumnRenamed("_file_mtime", "_src_mtime")
              .drop("_file_name"))
-    batch = latest(batch, ["expedient_id"], VERSION).checkpoint(eager=True)
+    batch = (latest(batch, ["expedient_id"], VERSION)
+             .withColumn("_id", F.col("expedient_id").cast("string"))
+             .checkpoint(eager=True))
     upsert(spark, batch, formatted, ["expedient_id"], VERSION)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("year").alias("last_year"))
@@ -155,7 +157,9 @@ def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger:
         raw = raw.drop("addresses")
     else:
         raw = raw.drop("addresses_neighborhood_name")
-    batch = latest(format_sites(raw), ["register_id"], VERSION).checkpoint(eager=True)
+    batch = (latest(format_sites(raw), ["register_id"], VERSION)
+             .withColumn("_id", F.col("register_id").cast("string"))
+             .checkpoint(eager=True))
     upsert(spark, batch, formatted, ["register_id"], VERSION)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.lit(None).cast("int").alias("last_year"))

@@ -91,3 +91,13 @@ def test_cli_stages(spark, tmp):
               "--ledger", f"{tmp}/ledger/prices"])
     first, second = [json.loads(line) for line in buf.getvalue().splitlines()]
     assert first["files"] == 1 and first["entries"][0]["rows"] == 3 and second["files"] == 0
+
+
+def test_formatted_collections_carry_their_key_as_id(spark, tmp):
+    land = f"{tmp}/landing"
+    _put(f"{land}/incidents/year_2019/a_2019.csv", "Numero_expedient,Nom_barri\nE1,Alpha\n")
+    _put(f"{land}/sites/s.json", json.dumps({"register_id": "s1", "addresses": [{"neighborhood_name": "x"}]}) + "\n")
+    zones.format_incident_files(spark, f"{land}/incidents", f"{tmp}/f/i", f"{tmp}/l/i")
+    zones.format_site_files(spark, f"{land}/sites", f"{tmp}/f/s", f"{tmp}/l/s")
+    assert rows(spark.read.parquet(f"{tmp}/f/i"), "_id", "expedient_id") == [("E1", "E1")]
+    assert rows(spark.read.parquet(f"{tmp}/f/s"), "_id", "register_id") == [("s1", "s1")]
