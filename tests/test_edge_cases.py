@@ -69,3 +69,11 @@ def test_projection_independent_of_partitioning(spark, parts):
     a = sorted(tuple(r) for r in projected_rows(docs, end_year=2024).collect())
     b = sorted(tuple(r) for r in projected_rows(docs.repartition(parts), end_year=2024).collect())
     assert a == b
+
+
+def test_latest_keeps_dotted_and_spaced_column_names(spark):
+    from barrio.operators.dedupe import latest
+    df = spark.createDataFrame([(1, 1, "x", "p"), (1, 2, "y", "q")], "k int, ver int, `a.b` string, `c d` string")
+    out = latest(df, ["k"], ["ver"])
+    assert out.columns == ["k", "ver", "a.b", "c d"]
+    assert tuple(out.first()) == (1, 2, "y", "q")
