@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barrio.functions.casts import quoted
@@ -44,17 +44,19 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "year",
                       files_per_partition: int = 1, max_records_per_file: int = 5_000_000) -> None:
     """K5: overwrite a table partitioned by ``partition_col``.
 
-    Rows are clustered by (partition value, hash bucket) first, so each
-    partition gets up to ``files_per_partition`` files instead of one small
-    file per task; raising the bucket count spreads a hot partition value
-    over more writer tasks (AQE merges buckets back when they are small).
-    Plain overwrite replaces the schema too.
+    By default rows are *rebalanced* by the partition column: one writer per
+    value instead of one small file per task, and AQE splits a skewed value
+    (a hot year) over several writers and merges tiny ones.  With
+    ``files_per_partition > 1`` rows are clustered by (value, hash bucket)
+    explicitly, giving up to that many files per value.  Plain overwrite
+    replaces the schema too.
     """
-    buckets: list[Column] = [F.col(quoted(partition_col))]
     if files_per_partition > 1:
-        buckets.append(F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]),
-                              F.lit(files_per_partition)))
-    (df.repartition(*buckets).write.mode("overwrite")
+        bucket = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(files_per_partition))
+        clustered = df.repartition(F.col(quoted(partition_col)), bucket)
+    else:
+        clustered = df.hint("rebalance", partition_col)
+    (clustered.write.mode("overwrite")
        .option("partitionOverwriteMode", "static")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col).parquet(path))

@@ -63,9 +63,9 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         cur = cur.join(touched, parts, "left_semi")
     merged = merge_latest(cur, batch, keys, version)
     if parts:
-        # one writer per partition directory (no task x partition small files);
-        # a hot partition value is still spread over its key buckets
-        merged = merged.repartition(*[F.col(c) for c in parts])
+        # one writer per partition directory (no task x partition small
+        # files); AQE splits a skewed one -- and key buckets spread it anyway
+        merged = merged.hint("rebalance", *parts)
     if cur is not None:
         merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")
