@@ -25,8 +25,9 @@ def land_json(df: DataFrame, path: str, batch_id: str, batch_col: str = "ingest_
 
 
 def land_csv_by_year(df: DataFrame, path: str, year_col: str = "year") -> None:
-    """K2: header CSV per year; re-landing a year replaces only that year."""
-    (json_writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """K2: header CSV per year; re-landing a year replaces only that year.
+    Rebalanced by year: a few files per year, not one per task and year."""
+    (json_writer(df.hint("rebalance", year_col)).mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("header", "true").partitionBy(year_col).csv(path))
 
 
