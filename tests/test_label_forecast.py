@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from barrio.operators.forecast import extend_history, projected_rows, series_trends
 from barrio.operators.label import label_by_quantiles, quantile_cuts

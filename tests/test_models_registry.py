@@ -1,6 +1,5 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
 
 from barrio.operators.models import (classification_metrics, feature_prep, stable_split, tune,
                                      with_folds)
