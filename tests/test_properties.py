@@ -40,3 +40,17 @@ def test_class_counts_sum_to_labelled_rows(spark, values):
     counts = {r[0]: r[1] for r in out.groupBy("price_category").count().collect()}
     assert sum(counts.values()) == sum(v is not None for v in values)
     assert set(counts) <= {0.0, 1.0, 2.0} and cuts == sorted(cuts)
+
+
+@SETTINGS
+@given(start=st.integers(0, 1000), step=st.integers(-60, 60), n=st.integers(2, 6), ahead=st.integers(1, 6))
+def test_zero_noise_projection_is_linear_until_clamped(spark, start, step, n, ahead):
+    from barrio.operators.forecast import projected_rows
+    years = list(range(2010, 2010 + n))
+    hist = [(y, float(start + i * step)) for i, y in enumerate(years)]
+    df = spark.createDataFrame([(1, [(y, v) for y, v in hist])],
+                               "_id int, info array<struct<year:int, Amount:double>>")
+    out = projected_rows(df, end_year=years[-1] + ahead, variance=0.0, secondary_threshold=1.0)
+    got = [(r["year"], r["Amount"]) for r in out.orderBy("year").collect()]
+    last = hist[-1][1]
+    assert got == [(years[-1] + k, max(0.0, last + k * step)) for k in range(1, ahead + 1)]
