@@ -7,12 +7,15 @@ it.  Every stage is a DataFrame -> DataFrame function so Catalyst sees one
 plan; the only driver-side values are schema metadata, file listings, two
 quantile cut points and model metrics.
 
-Sub-packages
+Sub-packages and modules
     functions  column expressions (keys, casts, dates, hash noise)
     sources    scans, sinks, the processed-file ledger and keyed upserts
     operators  flattening, header mapping, dedupe, aggregates, joins,
                labels, projections, model search and the leaderboard
     streaming  batch and Structured Streaming incremental loads
+    zones      stage functions: landing -> formatted -> exploitation
+               (also ``python -m barrio <stage>``)
+    session    local defaults, cluster defaults, the shared scratch folder
     plans      the query catalog over the driver's test tables
 """
 
