@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barrio.llm import near_dedup
+from barrio.llm import near_dedup, repeats
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -16,6 +17,15 @@ def query(fn):
     return fn
 
 
+@query
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
