@@ -59,6 +59,18 @@ class PrefixHash:
                    + (end - start).astype(np.uint64) * _RIGHT)
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
+    """Hashes of byte ranges in ascending order, about SLICE bytes at a time."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(out):
+        at = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, at + SLICE, "right")))
+        out[i:j] = PrefixHash(table[data[at:ends[j - 1]]]).of(starts[i:j] - at, ends[i:j] - at)
+        i = j
+    return out
+
+
 class Words:
     """Words of consecutive texts: hashes, byte ranges and each text's first word.
 
@@ -79,18 +91,7 @@ class Words:
         self.starts = np.flatnonzero(first)
         self.ends = np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.starts, offsets)
-        self.hash = self._hashes(_BYTE_LOWER if lower else _BYTE)
-
-    def _hashes(self, table: np.ndarray) -> np.ndarray:
-        out = np.empty(len(self.starts), dtype=np.uint64)
-        i = 0
-        while i < len(out):
-            at = self.starts[i]
-            j = max(i + 1, int(np.searchsorted(self.ends, at + SLICE, "right")))
-            ranges = PrefixHash(table[self.data[at:self.ends[j - 1]]])
-            out[i:j] = ranges.of(self.starts[i:j] - at, self.ends[i:j] - at)
-            i = j
-        return out
+        self.hash = range_hashes(data, self.starts, self.ends, _BYTE_LOWER if lower else _BYTE)
 
     @property
     def counts(self) -> np.ndarray:
