@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import near_dedup, repeats
+from barrio.llm import mixing, near_dedup, repeats, token_counts
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -29,3 +31,21 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), model).withColumn(
+        "over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_mix_sources"] = mixing.oracle()
