@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import mixing, near_dedup, repeats, token_counts
+from barrio.llm import importance, mixing, near_dedup, repeats, token_counts
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -19,6 +19,12 @@ def query(fn):
     return fn
 
 
+@query
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "score", F.col("chosen").alias("kept"))
+
+
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))

@@ -34,8 +34,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _BASE)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
+LOWER = _BYTE.copy()
+LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -91,7 +91,7 @@ class Words:
         self.starts = np.flatnonzero(first)
         self.ends = np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.starts, offsets)
-        self.hash = range_hashes(data, self.starts, self.ends, _BYTE_LOWER if lower else _BYTE)
+        self.hash = range_hashes(data, self.starts, self.ends, LOWER if lower else _BYTE)
 
     @property
     def counts(self) -> np.ndarray:
