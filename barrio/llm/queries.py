@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import importance, mixing, near_dedup, repeats, token_counts
+from barrio.llm import decontam, importance, mixing, near_dedup, repeats, token_counts
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -39,6 +39,15 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query
+def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.benchmark_passages(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("passages") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct("passages.item_id")).alias("item_ids"), "passages")
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
