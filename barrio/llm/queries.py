@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, repeats, token_counts
+from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, pii, repeats, token_counts
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -24,6 +24,12 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, count_col="n_found").select("doc_id", "n_found", "text")
+
+
 @query
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = importance.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
