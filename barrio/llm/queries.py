@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, pii, repeats, token_counts
+from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, pii, repeats, token_counts, url_filter
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -36,6 +36,21 @@ def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "score", F.col("chosen").alias("kept"))
 
 
+# The rules of the query.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op5_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    # the language of the hosts: words of the pages
+    words = F.split(F.lower(F.regexp_replace("html", "<[^>]*>", " ")), "[^a-z]+")
+    vocabulary = (pages.select(F.explode(words).alias("word")).where("length(word) between 2 and 20")
+                  .groupBy("word").agg(F.count("*").alias("n")))
+    return url_filter.judged(pages, URL_RULES, vocabulary)
+
+
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
