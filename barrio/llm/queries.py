@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, pii, repeats, token_counts, url_filter
+from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, page_text, pii, repeats, token_counts, url_filter
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -36,6 +36,12 @@ def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "score", F.col("chosen").alias("kept"))
 
 
+@query
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = page_text.extracted(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+
+
 # The rules of the query.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
              ("block", "net/es/"), ("block", "net/fr/")]
