@@ -20,10 +20,10 @@ its own counts.
 
 The score is the log importance weight.  Resampling without replacement: a
 Gumbel variable hashed from the id is added and the top k are kept.  k is
-either given or, with labels, the number of documents at or over the perturbed
+either given (the k-th score is found on counts of score ranges, not by a sort
+in one task) or, with labels, the number of documents at or over the perturbed
 score that best parts good from other labelled documents while ``KEEP_GOOD``
-of the good ones stay.  The k-th score of all documents is found on counts of
-score ranges, not by a sort in one task.
+of the good ones stay.
 
 Only buckets with a weight pass the driver, at most 2 ** BITS.  Null and empty
 texts have no n-grams and score 0.  A null id gets the Gumbel variable of an
@@ -35,14 +35,15 @@ with no k, every document is kept.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barrio.llm.tables import kept, picked
+from barrio.llm.tables import col, kept
 from barrio.llm.words import LOWER, Words, chunks, join2, mix, powers, range_hashes
 
 BITS, HEAD = 20, 4
@@ -121,13 +122,17 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return key & ((1 << BITS) - 1), key >> BITS
 
 
+def _good(label: pa.Array) -> np.ndarray:
+    return label.fill_null(0).to_numpy() == 1
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Raw and target documents with each n-gram, of one task."""
     raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
     for batch, data, offsets in chunks(batches, "text"):
         bucket, owner = ngrams(data, offsets)
         raw += np.bincount(bucket, minlength=1 << BITS)
-        good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
+        good = _good(batch.column("label"))
         target += np.bincount(bucket[good[owner]], minlength=1 << BITS)
     some = np.flatnonzero(raw)
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(raw[some]), pa.array(target[some])],
@@ -141,26 +146,27 @@ def _weight(target, expected):
     return np.sign(ratio) * np.maximum(np.abs(ratio) - error, 0)
 
 
-def _scores(bucket: np.ndarray, raw: np.ndarray, target: np.ndarray, share: float, level: float):
-    """Summed weights of each document's n-grams."""
+def _scores(names: dict[str, str], bucket: np.ndarray, raw: np.ndarray, target: np.ndarray, share: float,
+            level: float):
+    """Rows with the summed weights of their n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.full(1 << BITS, 0.0)
         weight[bucket] = _weight(target, raw * share)
         less = np.full(1 << BITS, 0.0)
         less[bucket] = _weight(np.maximum(target - 1, 0), np.maximum(raw - 1, 0) * share)
-        for batch, data, offsets in chunks(batches, "text"):
+        for batch, data, offsets in chunks(batches, names["text"]):
             grams, owner = ngrams(data, offsets)
-            good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
+            good = _good(batch.column(names["label"]))
             value = np.where(good[owner], less[grams], weight[grams]) - level
             score = np.bincount(owner, weights=value, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(score)], names=["doc_id", "label", "score"])
+            where = batch.schema.get_field_index(names["score"])
+            yield batch.set_column(where, names["score"], pa.array(score))
     return run
 
 
-def _gumbel(seed: int):
-    u = (F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                                           F.lit(f"|gumbel|{seed}"))), 1, 13), 16, 10).cast("double") + 0.5)
+def _gumbel(doc_id: Column, seed: int) -> Column:
+    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f"|gumbel|{seed}"))
+    u = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5
     return -F.log(-F.log(u / float(1 << 52)))
 
 
@@ -169,8 +175,7 @@ def _best_cut(scored: DataFrame) -> float | None:
 
     Scores are counted in bins of a quarter; bins are few (they are clipped).
     """
-    bins = (scored.where("label IS NOT NULL")
-            .groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.floor(F.col("perturbed") * 4))).alias("bin"))
+    bins = (scored.groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.floor(F.col("perturbed") * 4))).alias("bin"))
             .agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")).orderBy("bin").collect())
     goods, bads = sum(r["good"] for r in bins), sum(r["bad"] for r in bins)
     if not goods or not bads:
@@ -186,15 +191,14 @@ def _best_cut(scored: DataFrame) -> float | None:
     return at if at is not None and at > -100 else None
 
 
-def _top(scored: DataFrame, k: int) -> DataFrame:
-    """Adds ``chosen``: the k rows of the largest perturbed score, and its ties.
-
-    The k-th value is found on counts of at most 1024 ranges a pass.
-    """
-    ranked = kept(scored.withColumn("rank", F.floor(F.col("perturbed") * float(1 << 20))), "iw-ranks")
+def _kth(perturbed: DataFrame, k: int) -> float:
+    """The k-th largest value (to 2^-20), on counts of at most 1024 ranges a pass."""
+    ranked = kept(perturbed.select(F.floor(F.col("perturbed") * float(1 << 20)).alias("rank")), "iw-ranks")
     low, high = ranked.agg(F.min("rank"), F.max("rank")).first()
+    if k < 1 or low is None:
+        return math.inf
     above = 0
-    while low is not None and low < high:
+    while low < high:
         width = (high - low) // 1024 + 1
         bins = (ranked.where(F.col("rank").between(low, high))
                 .groupBy(F.expr(f"(rank - {low}) div {width}").alias("bin")).count()
@@ -204,40 +208,62 @@ def _top(scored: DataFrame, k: int) -> DataFrame:
                 low, high = low + r["bin"] * width, min(high, low + (r["bin"] + 1) * width - 1)
                 break
             above += r["count"]
-    return ranked.withColumn("chosen", F.lit(k > 0) & (F.col("rank") >= F.lit(low))).drop("rank")
+    return low / float(1 << 20)
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 11,
-                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, label (1 good, 0 not, null unlabelled), score, chosen of every row.
+                        id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str, str]:
+    """All rows and columns of ``docs`` with a score and whether it is chosen;
+    and the names of those two columns (``score`` and ``chosen``, with ``_``
+    added while the input has them).
 
-    ``labels``: doc_id, quality, toxic.  ``k``: how many documents to keep.
+    ``labels``: doc_id, quality, toxic.  ``k``: how many documents to choose.
     """
-    known = (labels.where("doc_id IS NOT NULL").groupBy("doc_id")
+    names = {"text": text_col}
+    for own in ("label", "score", "chosen", "known_id"):
+        names[own] = own
+        while names[own] in docs.columns:
+            names[own] += "_"
+    known = (labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(names["known_id"]))
              .agg(F.min(F.coalesce(((F.col("quality") == 1) & (F.col("toxic") == 0)), F.lit(False)).cast("int"))
-                  .alias("label")))
+                  .alias(names["label"])))
+    known = kept(known, "iw-labels")
     total = known.count()
     if total > LABELLED:
-        # a bounded sample: ids whose hash falls in the first LABELLED of `total` parts
-        known = known.where((F.expr("pmod(xxhash64(doc_id, 3), 1000000)") < 1_000_000 * LABELLED // total))
-    texts = picked(docs, doc_id=id_col, text=text_col).join(kept(known, "iw-labels"), "doc_id", "left")
-    texts = texts.withColumn("good", F.coalesce(F.col("label") == 1, F.lit(False)))
+        # the ids whose hash falls in the first LABELLED of `total` parts
+        hashed = F.expr(f"pmod(xxhash64(`{names['known_id']}`, 3), 1000000)")
+        known = known.where(hashed < 1_000_000 * LABELLED // total)
+    # bounded by LABELLED, so it may be sent to every task
+    rows = docs.join(F.broadcast(known), col(id_col) == col(names["known_id"]), "left").drop(names["known_id"])
+    rows = rows.withColumn(names["score"], F.lit(0.0))
+
+    texts = rows.select(col(text_col).alias("text"), col(names["label"]).alias("label"))
     counts = kept(texts.mapInArrow(_counts, "bucket int, raw long, target long").groupBy("bucket")
                   .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "iw-counts")
     all_raw, all_target = counts.agg(F.sum("raw"), F.sum("target")).first()
     share = (all_target or 0) / (all_raw or 1)
     # buckets whose weight is not 0, with or without one document
-    near = F.lit(PRIOR)
-    t, e = F.col("target") + near, F.col("raw") * share + near
+    t, e = F.col("target") + PRIOR, F.col("raw") * share + PRIOR
     sure = F.abs(F.log(t / e)) > (SHRINK - 0.5) * F.sqrt(1 / t + 1 / e)
     model = counts.where(F.lit(share > 0) & sure).toPandas()
     raw, target = (model[c].to_numpy(np.float64) for c in ("raw", "target"))
     level = float((target * _weight(target, raw * share)).sum() / max(all_target or 0, 1))
-    scored = kept(texts.mapInArrow(_scores(model["bucket"].to_numpy(np.int64), raw, target, share, level), "doc_id long, label int, score double")
-                  .withColumn("perturbed", F.col("score") + _gumbel(seed)), "iw-scores")
-    if k is None:
-        cut = _best_cut(scored)
-        if cut is None:
-            return scored.withColumn("chosen", F.lit(True))
-        k = scored.where(F.col("perturbed") >= cut).count()
-    return _top(scored, k)
+    score = _scores(names, model["bucket"].to_numpy(np.int64), raw, target, share, level)
+
+    def perturbed(frame: DataFrame) -> Column:
+        return frame[names["score"]] + _gumbel(col(id_col), seed)
+
+    scored = rows.mapInArrow(score, rows.schema)
+    if k is not None:
+        cut = _kth(scored.select(perturbed(scored).alias("perturbed")), k)
+    else:
+        judged = rows.where(col(names["label"]).isNotNull()).mapInArrow(score, rows.schema)
+        cut = _best_cut(judged.select(perturbed(judged).alias("perturbed"), col(names["label"]).alias("label")))
+    chosen = F.lit(True) if cut is None else perturbed(scored) >= cut
+    return scored.withColumn(names["chosen"], chosen).drop(names["label"]), names["score"], names["chosen"]
+
+
+def resampled(docs: DataFrame, labels: DataFrame, k: int | None = None, **options) -> DataFrame:
+    """The chosen rows of ``docs``."""
+    out, _, chosen = importance_resample(docs, labels, k, **options)
+    return out.where(col(chosen)).select(*map(col, docs.columns))

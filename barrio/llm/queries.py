@@ -32,8 +32,9 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = importance.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", "score", F.col("chosen").alias("kept"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, score, chosen = importance.importance_resample(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", F.col(score).alias("score"), F.col(chosen).alias("kept"))
 
 
 @query
