@@ -189,7 +189,8 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, name: str) -> DataF
     """The pairs (a, b) whose full shingle sets are similar enough, written."""
     pairs = kept(pairs, f"{name}-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = kept(texts.join(ends, "doc_id", "left_semi").mapInArrow(
+    # one plan at every size: the ends grow with the documents
+    sets = kept(texts.join(ends.hint("merge"), "doc_id", "left_semi").mapInArrow(
         _sets, "doc_id long, shingles binary"), f"{name}-sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_left")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_right")), "b"))
