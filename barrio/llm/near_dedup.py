@@ -13,9 +13,10 @@
 4. First every band bucket's members are compared with its smallest id.  The
    links contract to components (repeated ``min`` over edges).  Then only
    buckets that still hold several components are compared in full, across
-   components only: pairs inside a component change nothing.  So neither a
-   huge bucket of alike texts nor a chain of them makes all its pairs, and no
-   link between components is lost.
+   components only, in tiles of bounded size; a tile confirms its most alike
+   candidates first and passes by those that its links have joined meanwhile.
+   Pairs inside a component change nothing, so no link between components is
+   lost, and no step makes a row for each pair of a bucket.
 
 Rows with a null id take no part and are not returned.  A null or empty text
 and one without words have an empty set and are linked with nothing.  An id on
@@ -39,7 +40,7 @@ SHINGLE = 5
 BANDS, ROWS, BITS = 32, 5, 4
 HASHES = BANDS * ROWS
 SIGMAS = 4.5
-BLOCK = 4096                 # rows of a bucket compared at a time
+BLOCK = 1024                 # rows of a bucket compared with as many at a time
 
 SIGNATURES = ("doc_id long, n_shingles long, set_a long, set_b long, "
               "bands array<long>, bits array<long>")
@@ -168,33 +169,37 @@ def _agreeing_sql(a: str, b: str) -> str:
             f"(n, x) -> n + bit_count({fold} & {ones}L))")
 
 
+def _similar(left, right, percent: int) -> bool:
+    both = np.concatenate([np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)])
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _confirmed(percent: int):
-    """Keeps the rows whose sets a and b are similar enough."""
+    """Keeps the pairs whose sets are similar enough."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("set_left"), batch.column("set_right")
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i in range(batch.num_rows):
-                a = np.frombuffer(left[i].as_buffer(), dtype=np.uint64)
-                b = np.frombuffer(right[i].as_buffer(), dtype=np.uint64)
-                both = np.concatenate([a, b])
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                ok[i] = 100 * shared >= percent * (len(both) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            ok = [_similar(a.as_buffer(), b.as_buffer(), percent)
+                  for a, b in zip(batch.column("set_left"), batch.column("set_right"))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return keep
 
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int, name: str) -> DataFrame:
+def _sets_of(texts: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """(doc_id, shingles) of some documents, written."""
+    # one plan at every size: the ids grow with the documents
+    return kept(texts.join(ids.distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(
+        _sets, "doc_id long, shingles binary"), name)
+
+
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough, written."""
-    pairs = kept(pairs, f"{name}-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # one plan at every size: the ends grow with the documents
-    sets = kept(texts.join(ends.hint("merge"), "doc_id", "left_semi").mapInArrow(
-        _sets, "doc_id long, shingles binary"), f"{name}-sets")
+    pairs = kept(pairs, "nd-pairs")
+    sets = _sets_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "nd-pair-sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_left")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_right")), "b"))
-    return kept(both.mapInArrow(_confirmed(percent), "a long, b long"), f"{name}-links")
+    return kept(both.mapInArrow(_confirmed(percent), "a long, b long"), "nd-links")
 
 
 def _checksum(edges: DataFrame):
@@ -230,47 +235,98 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         before = after
 
 
-def _across(percent: int):
-    """Pairs of a tile's rows in different components that look similar.
-
-    Reads rows sorted by tile, strays (rows outside the bucket's first
-    component) first; every row meets the tile's strays.  A pair is given in
-    the first band that both share, so once.
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The whole tiles, one by one, of rows sorted by tile."""
+    rest = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        c = {}
+        for name, values in zip(batch.schema.names, batch.columns):
+            if pa.types.is_list(values.type):
+                c[name] = values.flatten().to_numpy().view(np.uint64).reshape(n, -1)
+            elif pa.types.is_binary(values.type):
+                c[name] = np.array([v.as_buffer() for v in values] + [None], dtype=object)[:-1]
+            else:
+                c[name] = values.to_numpy(zero_copy_only=False)
+        if rest:
+            c = {name: np.concatenate([rest[name], c[name]]) for name in c}
+        new = (np.diff(c["key"]) != 0) | (np.diff(c["x"]) != 0) | (np.diff(c["y"]) != 0)
+        cuts = np.r_[0, np.flatnonzero(new) + 1]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            yield {name: v[i:j] for name, v in c.items()}
+        rest = {name: v[cuts[-1]:] for name, v in c.items()}
+    if rest:
+        yield rest
+
+
+def _candidates(t: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, ...]:
+    """Rows i, j of a tile in different components that look similar, and their
+    agreeing slots.  A pair is given in the first band both share, so once.
+    One of two such rows is a stray, a row outside the bucket's first component.
     """
-    need = _slots_needed(percent)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, strays = None, []
-        for batch in batches:
-            c = {n: batch.column(n).to_numpy(zero_copy_only=False)
-                 for n in ("key", "x", "y", "block", "doc_id", "root", "n_shingles", "stray")}
-            n = batch.num_rows
-            bits = batch.column("bits").flatten().to_numpy().view(np.uint64).reshape(n, -1)
-            bands = batch.column("bands").flatten().to_numpy().reshape(n, -1)
-            new = np.ones(n, dtype=bool)
-            new[1:] = (np.diff(c["key"]) != 0) | (np.diff(c["x"]) != 0) | (np.diff(c["y"]) != 0)
-            cuts = np.flatnonzero(new)
-            for i, j in zip(cuts, np.append(cuts[1:], n)):
-                if (at := (c["key"][i], c["x"][i], c["y"][i])) != tile:
-                    tile, strays = at, []
-                ids, roots, sizes = c["doc_id"][i:j], c["root"][i:j], c["n_shingles"][i:j]
-                strays += [(ids[r], roots[r], sizes[r], c["block"][i + r], bits[i + r], bands[i + r])
-                           for r in np.flatnonzero(c["stray"][i:j])]
-                found = []
-                for doc, root, size, block, sig, band in strays:
-                    ok = (roots != root) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size))
-                    if tile[1] != tile[2]:
-                        ok &= c["block"][i:j] != block
-                    ok = np.flatnonzero(ok)
-                    if len(ok):
-                        ok = ok[_agreeing(bits[i + ok], sig) >= need]
-                    if len(ok):
-                        ok = ok[band[(bands[i + ok] == band).argmax(axis=1)] == tile[0]]
-                        found.append(np.c_[np.minimum(ids[ok], doc), np.maximum(ids[ok], doc)])
-                if found:
-                    a, b = np.unique(np.concatenate(found), axis=0).T
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-    return pairs
+    need, out = _slots_needed(percent), []
+    stray = t["root"] != t["home"]
+    key = t["key"][:1].view(np.uint64)[0]
+    for r in np.flatnonzero(stray):
+        ok = t["root"] != t["root"][r]
+        ok[:r] &= ~stray[:r]
+        size, sizes = t["n_shingles"][r], t["n_shingles"]
+        ok &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
+        if t["x"][0] != t["y"][0]:
+            ok &= t["block"] != t["block"][r]
+        ok = np.flatnonzero(ok)
+        if len(ok):
+            agree = _agreeing(t["bits"][ok], t["bits"][r])
+            ok, agree = ok[agree >= need], agree[agree >= need]
+        if len(ok):
+            first = t["bands"][r][(t["bands"][ok] == t["bands"][r]).argmax(axis=1)] == key
+            out.append((np.full(first.sum(), r), ok[first], agree[first]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
+
+
+OPEN = ["key", "x", "y", "block", "home", "doc_id", "root"]
+
+
+def _open_rows(percent: int):
+    """The rows of each tile that have a candidate."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _tiles(batches):
+            i, j, _ = _candidates(t, percent)
+            if len(i):
+                at = np.unique(np.r_[i, j])
+                yield pa.RecordBatch.from_arrays([pa.array(t[n][at]) for n in OPEN], names=OPEN)
+    return rows
+
+
+def _confirmed_links(percent: int):
+    """Links that join components of a tile, most alike candidates first.
+
+    A pair whose components are one already is passed by; every other
+    candidate is confirmed on the full sets.
+    """
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _tiles(batches):
+            i, j, agree = _candidates(t, percent)
+            up: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while (y := up.get(x, x)) != x:
+                    up[x] = x = up.get(y, y)
+                return x
+
+            links = []
+            for r in np.argsort(-agree, kind="stable"):
+                a, b = i[r], j[r]
+                left, right = top(int(t["root"][a])), top(int(t["root"][b]))
+                if left != right and _similar(t["shingles"][a], t["shingles"][b], percent):
+                    up[left] = right
+                    links.append((t["doc_id"][a], t["doc_id"][b]))
+            if links:
+                ends = np.array(links)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+    return rows
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
@@ -310,7 +366,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             .where(f"100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)")
             .where(F.expr(f"{_agreeing_sql('bits_a', 'bits_b')} >= {_slots_needed(percent)}"))
             .select("a", "b"))
-    links = _links(star, texts, percent, "nd-star")
+    links = _links(star, texts, percent)
 
     roots = components(links, "nd-first")
     rooted = kept(members.join(roots, "doc_id", "left")
@@ -320,11 +376,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     open_ = (rooted.join(mixed.select("key", "home", "n"), "key")
              .join(reps.select("doc_id", "n_shingles", "bits", "bands"), "doc_id"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    open_ = (_tiled(open_.withColumn("stray", F.col("root") != F.col("home")))
-             .select("key", "x", "y", "block", "stray", "doc_id", "root", "n_shingles", "bits", "bands")
-             .repartition(parts, "key", "x", "y")
-             .sortWithinPartitions("key", "x", "y", F.desc("stray"), "doc_id"))
-    rest = _links(open_.mapInArrow(_across(percent), "a long, b long").distinct(), texts, percent, "nd-rest")
+
+    def by_tile(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id")
+
+    near = kept(by_tile(_tiled(open_).select(*OPEN, "n_shingles", "bits", "bands")).mapInArrow(
+        _open_rows(percent), "key long, x int, y int, block int, home long, doc_id long, root long"), "nd-open")
+    sets = _sets_of(texts, near.select("doc_id"), "nd-open-sets")
+    rest = kept(by_tile(near.join(reps.select("doc_id", "n_shingles", "bits", "bands"), "doc_id")
+                        .join(sets, "doc_id"))
+                .mapInArrow(_confirmed_links(percent), "a long, b long"), "nd-rest")
 
     copies = sigs.join(same.select("set_a", "set_b", "n_shingles", "rep"), ["set_a", "set_b", "n_shingles"])
     copies = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
