@@ -63,9 +63,17 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _dot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Row products, added component by component: equal rows give equal sums."""
+    out = np.zeros(len(x))
+    for i in range(x.shape[1]):
+        out += x[:, i] * y[..., i]
+    return out
+
+
 def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosines of a vector with rows, in double precision."""
-    return np.sum(x * q, axis=1) / (np.sqrt(np.sum(x * x, axis=1)) * np.sqrt(np.sum(q * q)))
+    return _dot(x, q) / (np.sqrt(_dot(x, x)) * np.sqrt(_dot(q[None], q[None])))
 
 
 def _fits(x: np.ndarray) -> np.ndarray:

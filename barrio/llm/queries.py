@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, page_text, pii, repeats, token_counts, url_filter
+from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, oracles, page_text, pii, repeats, token_counts, url_filter
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -96,4 +96,5 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-ORACLES["op10_mix_sources"] = mixing.oracle()
+ORACLES |= {"op1_nearest_neighbours": oracles.OP1, "op6_repeated_passages": oracles.OP6,
+            "op7_near_duplicates": oracles.OP7, "op10_mix_sources": mixing.oracle()}
