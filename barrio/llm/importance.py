@@ -158,7 +158,7 @@ def _scores(names: dict[str, str], bucket: np.ndarray, raw: np.ndarray, target:
             grams, owner = ngrams(data, offsets)
             good = _good(batch.column(names["label"]))
             value = np.where(good[owner], less[grams], weight[grams]) - level
-            score = np.bincount(owner, weights=value, minlength=batch.num_rows)
+            score = np.bincount(owner, weights=value, minlength=batch.num_rows).astype(np.float64)
             where = batch.schema.get_field_index(names["score"])
             yield batch.set_column(where, names["score"], pa.array(score))
     return run
