@@ -236,14 +236,11 @@ def _search(ids: list[int], texts: list[str], text_col: str, name: str):
                     "item_id": items.ids[item], "start": int(places[start] - offsets[d]),
                     "end": int(places[end - 1] + 1 - offsets[d]), "edits": int(edits)}]
             where = batch.schema.get_field_index(name)
-            yield batch.set_column(where, name, pa.array(lists, PASSAGES)) if rows else batch
+            field = batch.schema.field(where)
+            yield batch.set_column(where, field, pa.array(lists, field.type)) if rows else batch
     return run
 
 
-PASSAGES = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                               ("edits", pa.int32())]))
-
-
 def _rounds(benchmark: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
     """The items, ROUND_BYTES at a time (or one item)."""
     ids, texts, size = [], [], 0

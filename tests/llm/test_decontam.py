@@ -89,3 +89,14 @@ def test_odd_and_empty_tables(spark):
     docs, bench = spark.createDataFrame(odd_rows(), SCHEMA), spark.createDataFrame([], "item_id long, text string")
     assert D.decontaminated(docs, bench).count() == len(odd_rows())
     assert D.decontaminated(docs.limit(0), spark.createDataFrame([(1, "abc")], "item_id long, text string")).count() == 0
+
+
+def test_batches_with_and_without_passages(spark):
+    item = "word after word the passage goes on until it ends here at last"
+    docs = spark.createDataFrame([(i, item if i % 3 == 1 else "clean") for i in range(9)], "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        out = D.benchmark_passages(docs.coalesce(1), spark.createDataFrame([(1, item)], "item_id long, text string"))
+        assert {r.doc_id for r in out.collect() if r.passages} == {1, 4, 7}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
