@@ -18,6 +18,13 @@ target counts use at most ``LABELLED`` labelled documents (those with the
 smallest hashes of their ids), and a document in the target is scored without
 its own counts.
 
+A sum's mean and spread still change with the number of n-grams: a long text
+holds more rare n-grams, with small weights below 0.  Both are fitted to the
+good documents over that number (``_length_fit``), and the score is the sum
+less the mean, divided by the spread where that is over that of a short text.
+So one cut loses no more of the long good documents than of the short ones.
+Beyond the longest good document the mean goes on in proportion.
+
 The score is the log importance weight.  Resampling without replacement: a
 Gumbel variable hashed from the id is added and the top k are kept.  k is
 either given (the k-th score is found on counts of score ranges, not by a sort
@@ -25,7 +32,8 @@ in one task) or, with labels, the number of documents at or over the perturbed
 score that best parts good from other labelled documents while ``KEEP_GOOD``
 of the good ones stay.
 
-Only buckets with a weight pass the driver, at most 2 ** BITS.  Null and empty
+Only buckets with a weight pass the driver, at most 2 ** BITS, and counts of
+labelled documents by length and by score, at most ``LABELLED``.  Null and empty
 texts have no n-grams and score 0.  A null id gets the Gumbel variable of an
 empty id; rows that repeat an id share it, and rows with equal perturbed
 scores at the cut are all kept.  Labels of null or unknown ids do nothing; a
@@ -50,6 +58,7 @@ BITS, HEAD = 20, 4
 PRIOR, SHRINK = 1.0, 1.5
 LABELLED = 200_000
 KEEP_GOOD = 0.99
+DRIFT, ROUNDS = (0.0, 1.0, 1.5), 3               # powers of the length in a score's mean
 
 _UPPER, _LETTER, _DIGIT = 1, 2, 3
 _CLASS = np.arange(256, dtype=np.uint64)         # a punctuation mark is its own class
@@ -148,7 +157,7 @@ def _weight(target, expected):
 
 def _scores(names: dict[str, str], bucket: np.ndarray, raw: np.ndarray, target: np.ndarray, share: float,
             level: float):
-    """Rows with the summed weights of their n-grams."""
+    """Rows with the number and the summed weights of their n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.full(1 << BITS, 0.0)
         weight[bucket] = _weight(target, raw * share)
@@ -159,8 +168,10 @@ def _scores(names: dict[str, str], bucket: np.ndarray, raw: np.ndarray, target:
             good = _good(batch.column(names["label"]))
             value = np.where(good[owner], less[grams], weight[grams]) - level
             score = np.bincount(owner, weights=value, minlength=batch.num_rows).astype(np.float64)
-            where = batch.schema.get_field_index(names["score"])
-            yield batch.set_column(where, names["score"], pa.array(score))
+            count = np.bincount(owner, minlength=batch.num_rows).astype(np.int64)
+            for name, values in ((names["score"], score), (names["grams"], count)):
+                batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(values))
+            yield batch
     return run
 
 
@@ -170,25 +181,64 @@ def _gumbel(doc_id: Column, seed: int) -> Column:
     return -F.log(-F.log(u / float(1 << 52)))
 
 
+def _length_fit(judged: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Mean and variance of a good document's sum, over thousands of n-grams x.
+
+    Coefficients of x ** DRIFT, and of x and x ** 2, by weighted least squares;
+    each is drawn to 0 as by one document.  And the largest x fitted.
+    """
+    good = (judged.where("label = 1 AND grams > 0").groupBy("grams")
+            .agg(F.count("*").alias("n"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q"))
+            .orderBy("grams").toPandas())
+    mean, spread = np.zeros(len(DRIFT)), np.zeros(2)
+    if not len(good):
+        return mean, spread, 1.0
+    x, n, s, q = (good[c].to_numpy(np.float64) for c in ("grams", "n", "s", "q"))
+    x = x / 1000
+    drift, square = np.stack([x ** p for p in DRIFT], 1), np.stack([x, x * x], 1)
+    variance = x
+    for _ in range(ROUNDS):
+        w = 1 / (0.1 + variance)
+        mean = np.linalg.solve((drift * (w * n)[:, None]).T @ drift + np.eye(len(DRIFT)), drift.T @ (w * s))
+        m = drift @ mean
+        error, w = np.maximum(q - 2 * m * s + n * m * m, 0), w * w
+        normal, right = (square * (w * n)[:, None]).T @ square + np.eye(2), square.T @ (w * error)
+        spread = np.linalg.solve(normal, right)
+        if spread.min() < 0:                     # the other one alone
+            spread = np.where(spread < 0, 0, right / np.diag(normal))
+        variance = square @ spread
+    return mean, spread, float(x.max())
+
+
+def _comparable(total: Column, grams: Column, fit: tuple[np.ndarray, np.ndarray, float]) -> Column:
+    """The sum ``total`` of so many n-grams, as a score that lengths share."""
+    mean, spread, longest = fit
+    x = grams / 1000.0
+    near = F.least(x, F.lit(longest))
+    drift = sum((float(c) * F.pow(near, F.lit(p)) for c, p in zip(mean, DRIFT)), F.lit(0.0))
+    drift *= F.greatest(x / longest, F.lit(1.0))
+    return F.when(grams > 0, (total - drift) / F.sqrt(1 + float(spread[0]) * x + float(spread[1]) * x * x)).otherwise(0.0)
+
+
 def _best_cut(scored: DataFrame) -> float | None:
     """The perturbed score that best parts good from other labelled documents.
 
-    Scores are counted in bins of a quarter; bins are few (they are clipped).
+    Scores are counted in bins of a quarter, at most one a labelled document.
     """
-    bins = (scored.groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.floor(F.col("perturbed") * 4))).alias("bin"))
-            .agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")).orderBy("bin").collect())
-    goods, bads = sum(r["good"] for r in bins), sum(r["bad"] for r in bins)
+    bins = (scored.groupBy(F.floor(F.col("perturbed") * 4).alias("bin"))
+            .agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")).orderBy("bin").toPandas())
+    goods, bads = int(bins["good"].sum()), int(bins["bad"].sum())
     if not goods or not bads:
         return None
     best, at, below_good, below_bad = -1.0, None, 0, 0
-    for r in bins:
+    for bin_, good, bad in zip(bins["bin"].tolist(), bins["good"].tolist(), bins["bad"].tolist()):
         if below_good > (1 - KEEP_GOOD) * goods and at is not None:
             break
         value = below_bad / bads - below_good / goods
         if value > best:
-            best, at = value, r["bin"] / 4
-        below_good, below_bad = below_good + r["good"], below_bad + r["bad"]
-    return at if at is not None and at > -100 else None
+            best, at = value, bin_ / 4
+        below_good, below_bad = below_good + good, below_bad + bad
+    return at
 
 
 def _kth(perturbed: DataFrame, k: int) -> float:
@@ -220,7 +270,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     ``labels``: doc_id, quality, toxic.  ``k``: how many documents to choose.
     """
     names = {"text": text_col}
-    for own in ("label", "score", "chosen", "known_id"):
+    for own in ("label", "score", "chosen", "known_id", "grams"):
         names[own] = own
         while names[own] in docs.columns:
             names[own] += "_"
@@ -235,7 +285,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
         known = known.where(hashed < 1_000_000 * LABELLED // total)
     # bounded by LABELLED, so it may be sent to every task
     rows = docs.join(F.broadcast(known), col(id_col) == col(names["known_id"]), "left").drop(names["known_id"])
-    rows = rows.withColumn(names["score"], F.lit(0.0))
+    rows = rows.withColumn(names["score"], F.lit(0.0)).withColumn(names["grams"], F.lit(0).cast("long"))
 
     texts = rows.select(col(text_col).alias("text"), col(names["label"]).alias("label"))
     counts = kept(texts.mapInArrow(_counts, "bucket int, raw long, target long").groupBy("bucket")
@@ -250,17 +300,21 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     level = float((target * _weight(target, raw * share)).sum() / max(all_target or 0, 1))
     score = _scores(names, model["bucket"].to_numpy(np.int64), raw, target, share, level)
 
-    def perturbed(frame: DataFrame) -> Column:
-        return frame[names["score"]] + _gumbel(col(id_col), seed)
-
+    judged = kept(rows.where(col(names["label"]).isNotNull()).mapInArrow(score, rows.schema).select(
+        col(id_col).alias("id"), col(names["label"]).alias("label"), col(names["score"]).alias("score"),
+        col(names["grams"]).alias("grams")), "iw-judged")
+    fit = _length_fit(judged)
     scored = rows.mapInArrow(score, rows.schema)
+    scored = scored.withColumn(names["score"], _comparable(scored[names["score"]], scored[names["grams"]], fit))
+    perturbed = col(names["score"]) + _gumbel(col(id_col), seed)
     if k is not None:
-        cut = _kth(scored.select(perturbed(scored).alias("perturbed")), k)
+        cut = _kth(scored.select(perturbed.alias("perturbed")), k)
     else:
-        judged = rows.where(col(names["label"]).isNotNull()).mapInArrow(score, rows.schema)
-        cut = _best_cut(judged.select(perturbed(judged).alias("perturbed"), col(names["label"]).alias("label")))
-    chosen = F.lit(True) if cut is None else perturbed(scored) >= cut
-    return scored.withColumn(names["chosen"], chosen).drop(names["label"]), names["score"], names["chosen"]
+        cut = _best_cut(judged.select("label", (_comparable(F.col("score"), F.col("grams"), fit)
+                                                + _gumbel(F.col("id"), seed)).alias("perturbed")))
+    chosen = F.lit(True) if cut is None else perturbed >= cut
+    return (scored.withColumn(names["chosen"], chosen).drop(names["label"], names["grams"]),
+            names["score"], names["chosen"])
 
 
 def resampled(docs: DataFrame, labels: DataFrame, k: int | None = None, **options) -> DataFrame:

@@ -77,3 +77,36 @@ def test_odd_rows_and_labels(spark):
     none = I.resampled(docs, labels.limit(0))
     assert sorted(map(str, none.collect())) == sorted(map(str, docs.collect()))
     assert I.resampled(docs.limit(0), labels).count() == 0 and I.resampled(docs, labels, k=0).count() == 0
+
+
+def test_clean_documents_stay_at_every_length(spark):
+    """Long texts hold rare words that few labelled texts have."""
+    rng = np.random.default_rng(7)
+    share = 1 / np.arange(1, 40001) ** 1.05
+    words = np.array([f"{'ba do fi gu ke lo ma ne'.split()[i % 8]}{i:x}".translate(str.maketrans("0123456789", "ghijklmnop"))
+                      for i in range(len(share))])
+    rows, labels = [], []
+    for i in range(3000):
+        size = int(rng.choice([30, 150, 600, 2500, 9000], p=[0.3, 0.38, 0.2, 0.08, 0.04]))
+        w = words[rng.choice(len(words), size, p=share / share.sum())]
+        kind = rng.choice(["good", "junk", "toxic"], p=[0.7, 0.15, 0.15])
+        if kind == "junk":
+            w = np.char.add(w, "$$$")
+        elif kind == "toxic":
+            at = rng.choice(size, max(3, size // 50), replace=False)
+            w = w.astype(object)
+            w[at] = rng.choice(["vilething", "vilestuff", "vilename"], len(at))
+        rows.append((i, " ".join(w), str(kind), size))
+        if rng.random() < 0.5:
+            labels.append((i, int(kind != "junk"), int(kind == "toxic")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, size int").repartition(8)
+    out, _, chosen = I.importance_resample(docs, spark.createDataFrame(labels, LABELS))
+    got = out.groupBy("size", "kind").agg(F.avg(F.col(chosen).cast("int")).alias("kept")).collect()
+    for r in got:
+        assert r.kept >= 0.96 if r.kind == "good" else r.kept < 0.1, sorted(map(tuple, got))
+
+
+def test_cut_below_any_fixed_range(spark):
+    scored = spark.createDataFrame([(1, -900.0 - i) for i in range(50)] + [(0, -2000.0 - i) for i in range(50)],
+                                   "label int, perturbed double")
+    assert -1951 < I._best_cut(scored) <= -949
