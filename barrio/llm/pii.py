@@ -6,10 +6,11 @@ values get equal pseudonyms in every document:
 
 * payment cards: 13-19 digits with a right check digit; the first digit stays,
   the others are permuted, the check digit is computed anew
-* bank accounts (IBAN with digits): the account digits are permuted, the two
-  check digits computed anew
-* phone numbers: 10 digits with valid area and exchange codes map to such, the
-  country code and other formats keep their punctuation
+* bank accounts (IBAN of each country's length): the account digits are
+  permuted, letters stay, the two check digits are computed anew
+* phone numbers: 10 digits with valid area and exchange codes (also without
+  separators) map to such; after ``+`` 8 to 15 digits in any groups keep
+  their country code; all keep their punctuation
 * social security numbers (ddd-dd-dddd with valid parts), IPv4 addresses (a
   permutation of all addresses), dates from 1900 to 2099 (yyyy-mm-dd,
   dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy; a permutation of those days)
@@ -39,18 +40,28 @@ from barrio.llm.tables import col
 STEPS = 10
 KEY = "replace this key"
 
+# Countries by the length of their account numbers.
+IBAN = {15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+        22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL",
+        24: "AD|CZ|DZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+        27: "BF|BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD", 28: "AL|AZ|BJ|BY|CI|CY|DO|GT|GW|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG",
+        29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+_ACCOUNT = "|".join(f"(?:{who})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, who in IBAN.items())
+_CARD_NEXT = "[ .-][0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])"
 # Formats looked for, in order of precedence.
 FORMATS = [
     r'(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?"?[^\s"]{8,})',
     r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    rf"(?<![A-Za-z0-9])(?:{_ACCOUNT})(?![0-9A-Za-z])",
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])",
     r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-    r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,3}(?![0-9])",
+    r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,5}(?:(?!" + _CARD_NEXT + r")[ .-]?[0-9]{1,5}){1,5}(?![0-9])",
     r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     r"(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    r"(?<![0-9A-Za-z.,_/-])[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z_/-]|[.,][0-9])",
 ]
 PATTERN = "|".join(FORMATS)
 FIRST_DAY, DAYS = "1900-01-01", (229, 319)          # 229 * 319 days: up to 2099-12-31
@@ -101,7 +112,9 @@ def _check_digit(p: str) -> str:
 
 
 def _mod97(d: str) -> str:
-    return f"aggregate(split({d}, ''), 0, (x, c) -> if(c = '', x, (x * 10 + cast(c as int)) % 97))"
+    """The rest by 97 of digits and letters (A is 10, Z is 35)."""
+    return (f"aggregate(split({d}, ''), 0, (x, c) -> case when c = '' then x "
+            "when c >= 'A' then (x * 100 + ascii(c) - 55) % 97 else (x * 10 + cast(c as int)) % 97 end)")
 
 
 def _pseudonym(key: str) -> str:
@@ -112,14 +125,12 @@ def _pseudonym(key: str) -> str:
                   f"concat(p, substring(repeat({digest.format(value)}, length(m) div 64 + 1), 1, length({value})))")
     email = f"concat('u', substring({digest.format('lower(m)')}, 1, 16), '@example.invalid')"
 
-    country = ("concat(cast(ascii(substring(m, 1, 1)) - 55 as string), "
-               "cast(ascii(substring(m, 2, 1)) - 55 as string))")
-    account = "substring(d, 3)"
-    iban = (f"if(length(d) <= 34 and {_mod97(f'concat({account}, {country}, substring(d, 1, 2))')} = 1, "
-            + _let(_digits(key, "iban", account), "n",
-                   f"concat(substring(m, 1, 2), "
-                   + _put("substring(m, 3)",
-                          f"concat(lpad(cast(98 - {_mod97(f'concat(n, {country}, 0, 0)')} as string), 2, '0'), n)") + ")")
+    country, account = "substring(m, 1, 2)", "replace(substring(m, 5), ' ', '')"
+    fresh = f"concat(replace(n, ' ', ''), {country}, '00')"
+    iban = (f"if(length(d) > 3 and {_mod97(f'concat({account}, substring(m, 1, 4))')} = 1, "
+            + _let(_put("substring(m, 5)", _digits(key, "iban", "substring(d, 3)")), "n",
+                   f"concat({country}, lpad(cast(98 - {_mod97(fresh)} as string), "
+                   "2, '0'), n)")
             + ", m)")
 
     ten = "substring(d, length(d) - 9)"

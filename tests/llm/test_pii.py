@@ -66,3 +66,24 @@ def test_odd_rows_and_columns(spark):
     assert out.columns == df.columns + ["n"]
     assert sorted(map(str, out.select(df.columns).collect())) == sorted(map(str, df.collect()))
     assert P.pseudonymised(df.limit(0)).count() == 0
+
+
+def test_accounts_with_letters_and_phones_in_any_groups(spark):
+    accounts = ["NL91ABNA0417164300", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606",
+                "AT61 1904 3002 3457 3201", "NO9386011117947"]
+    phones = ["+33 1 42 68 53 00", "+33 6 12 34 56 78", "+44 20 7946 0958", "4155552671"]
+    texts = [f"pay {a} NOW or {a}." for a in accounts] + [f"call {p}, or {p}." for p in phones]
+    texts += ["+33 1 42 68 53 00 4111 1111 1111 1111", "+49 30 901820 4111 1111 1111 1111"]
+    got = replaced(spark, texts)
+    for old, text in zip(accounts, got):
+        a, b = re.fullmatch(r"pay (.*) NOW or (.*)\.", text).groups()
+        assert a == b != old and re.sub(r"\d", "9", a) == re.sub(r"\d", "9", old)
+        c = a.replace(" ", "")
+        assert int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 == 1
+    for old, text in zip(phones, got[len(accounts):]):
+        a, b = re.fullmatch(r"call (.*), or (.*)\.", text).groups()
+        assert a == b != old and re.sub(r"\d", "9", a) == re.sub(r"\d", "9", old) and a[:3] == old[:3] or old[0] == "4"
+    for old, text in zip(texts[-2:], got[-2:]):
+        assert luhn(re.sub(r"\D", "", text[-19:])) and text[-19:] != old[-19:] and text[:-20] != old[:-20]
+    stay = ["NL92ABNA0417164300", "GB28 NWBK 6016 1331 9268 19", "order 1234567890", "id x4155552671"]
+    assert replaced(spark, stay) == stay
