@@ -7,12 +7,16 @@ ones that with the longer host, then block).
 Other urls.  Host labels are cut at everything but letters, and each piece is
 segmented into words by a unigram Viterbi: the cut with the largest product
 of word probabilities, a substring outside the vocabulary having
-10 / (N * 10 ** length).  Substrings meet the vocabulary in a join (distinct
+10 / (N * 10 ** length).  N is ``CORPUS`` words whatever the input: counts are
+scaled to it, and the seed words and their inflected forms have at least the
+share ``SEED_SHARE``, so cuts do not change with the size of a table.  A seed
+of four letters and more is a word beside an unknown one, a shorter one only
+beside known words.  Substrings meet the vocabulary in a join (distinct
 pieces only), so the vocabulary is neither capped nor sent to tasks; a piece's
 known substrings, at most ``LONGEST`` for each letter, are then cut in a small
 per-row function.  A multinomial naive Bayes model scores host words and path
 tokens (numbers are one token).  It is trained here on all urls: block
-examples are those whose host words hold a seed word, allow examples all
+examples are those whose host words hold a seed word or a form of it, allow examples all
 others; token counts are map-side combined sums and the model is joined with
 distinct hosts and distinct paths.  A url is blocked when the block class is
 the more probable.
@@ -28,6 +32,7 @@ ones are as any others.  An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,11 +42,32 @@ from pyspark.sql import functions as F
 from barrio.llm.tables import kept, picked
 
 LONGEST = 20
+CORPUS, SEED_SHARE = 1_000_000, 2e-4
 # Words whose presence in a host marks a block example.
 SEEDS = ("adult", "bet", "casino", "cheap", "escort", "gambling", "hack", "malware", "phishing", "pills", "poker",
          "porn", "spam", "torrent", "viagra", "warez", "xxx")
 
 
+def inflected(seeds: tuple[str, ...]) -> tuple[str, ...]:
+    """Seeds with their plurals, verb forms and (but for short ones) agents."""
+    forms = set(seeds)
+    for seed in seeds:
+        endings = ["s", "ed", "ing"] + ["er", "ers"] * (len(seed) > 3)
+        stems = {seed}
+        if re.search("[^aeiou][aeiou][^aeiouwxy]$", seed):
+            stems.add(seed + seed[-1])
+        if seed.endswith("ing") and len(seed) > 6:
+            stems = {seed[:-3]}
+            forms |= {seed[:-3], seed[:-3] + "e", seed[:-3] + "es"}
+        if seed.endswith("s") and len(seed) > 4:
+            stems = {seed[:-1]}
+            forms.add(seed[:-1])
+        forms |= {stem + ending for stem in stems for ending in endings}
+        if len(stems) > 1:
+            forms.discard(seed + seed[-1] + "s")
+    return tuple(sorted(forms))
+
+
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host and path of a url, both empty without ``://``."""
     rest = F.when(url.contains("://"), F.substr(url, F.instr(url, "://") + 3)).otherwise("")
@@ -88,8 +114,9 @@ def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["piece", "words"])
 
 
-def host_words(hosts: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """host, words of distinct hosts.  ``vocabulary``: word, n."""
+def host_words(hosts: DataFrame, vocabulary: DataFrame, seeds: tuple[str, ...] = ()) -> DataFrame:
+    """host, words of distinct hosts.  ``vocabulary``: word, n.  ``seeds`` are
+    words at least as common as ``SEED_SHARE``."""
     pieces = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("place", "piece")).where("piece <> ''")
     distinct = kept(pieces.select("piece").distinct(), "url-pieces")
     parts = distinct.select("piece", F.explode(F.expr(f"""flatten(transform(sequence(0, length(piece) - 1), at ->
@@ -97,9 +124,12 @@ def host_words(hosts: DataFrame, vocabulary: DataFrame) -> DataFrame:
             named_struct('at', at, 'length', length, 'word', substring(piece, at + 1, length)))))""")).alias("s"))
     vocabulary = kept(vocabulary.groupBy("word").agg(F.sum("n").alias("n")), "url-vocabulary")
     total = vocabulary.agg(F.sum("n")).first()[0] or 1
+    scaled = F.col("n") * (CORPUS / float(total))
+    vocabulary = vocabulary.select("word", F.when(
+        F.col("word").isin(*seeds), F.greatest(scaled, F.lit(SEED_SHARE * CORPUS))).otherwise(scaled).alias("n"))
     known = (parts.select("piece", "s.*").join(vocabulary, "word").groupBy("piece")
              .agg(F.collect_list(F.struct("at", "length", "n")).alias("known")))
-    cut = (distinct.join(known, "piece", "left").withColumn("total", F.lit(int(total)))
+    cut = (distinct.join(known, "piece", "left").withColumn("total", F.lit(CORPUS))
            .mapInArrow(_segment, "piece string, words array<string>"))
     # a host has at most as many pieces as letters
     found = pieces.join(cut, "piece").groupBy("host").agg(
@@ -127,9 +157,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], vocabulary: DataFrame
                 "url-pages")
     urls = rows.groupBy("host", "path").agg(F.count("*").alias("n"))
     # seeds are words of the language
-    seed_words = spark.createDataFrame([(s, 1) for s in seeds], "word string, n long")
-    hosts = kept(host_words(rows.select("host").distinct(), vocabulary.unionByName(seed_words)).withColumn(
-        "block", F.arrays_overlap("words", F.array(*map(F.lit, seeds)))), "url-hosts")
+    forms = inflected(seeds)
+    seed_words = spark.createDataFrame([(s, 0) for s in forms], "word string, n long")
+    hosts = kept(host_words(rows.select("host").distinct(), vocabulary.unionByName(seed_words), forms).withColumn(
+        "block", F.arrays_overlap("words", F.array(*map(F.lit, forms)))), "url-hosts")
 
     counted = kept(urls.join(hosts, "host").select(
         "n", "block", F.concat("words", _path_tokens(F.col("path"))).alias("tokens")), "url-counted")

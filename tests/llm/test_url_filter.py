@@ -74,3 +74,22 @@ def test_bayes_scores(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert U.judged(empty, URL_RULES, spark.createDataFrame([], "word string, n long")).count() == 0
+
+
+def test_words_do_not_change_with_the_size_of_the_vocabulary(spark):
+    hosts = {"onlinepoker.com": ["online", "poker"], "cheappills.com": ["cheap", "pills"], "zuqocasinos.com": ["zuqo", "casinos"],
+             "hackerzone.com": ["hacker", "zone"], "mygardennews.com": ["my", "garden", "news"]}
+    pages = spark.createDataFrame([(i, f"http://{h}/a") for i, h in enumerate(hosts)], "page_id long, url string")
+    share = {"com": 0.02, "my": 0.01, "garden": 0.001, "news": 0.002, "zone": 0.001}
+    for size in (10 ** 4, 10 ** 6, 10 ** 9, 10 ** 12):
+        words = [(w, int(p * size)) for w, p in share.items()] + [("the", int(size * (1 - sum(share.values()))))]
+        got = {r.host: r for r in U.judged(pages, [], spark.createDataFrame(words, "word string, n long")).collect()}
+        for host, cut in hosts.items():
+            assert got[host].words == [*cut, "com"], (size, host, got[host].words)
+        assert [h for h, r in got.items() if r.verdict == "allow"] == ["mygardennews.com"]
+
+
+def test_forms_of_seeds():
+    forms = U.inflected(U.SEEDS)
+    assert {"casinos", "hacking", "hackers", "pill", "betting", "spammers", "gamblers", "gamble", "bets"} <= set(forms)
+    assert "better" not in forms and "hackk" not in forms and set(U.SEEDS) <= set(forms)
