@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm import decontam, importance, mixing, near_dedup, neighbours, oracles, page_text, pii, repeats, token_counts, url_filter
+from barrio.llm import (decontam, importance, mixing, near_dedup, neighbours, oracles, oracles_conversations, page_text,
+                        pii, repair, repeats, token_counts, url_filter)
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -96,5 +97,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    report, pieces = repair.repaired(repair.damaged(turns))
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c)
+              for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    every = turns.select("conv_id").distinct()
+    return (every.alias("l").join(report.alias("r"), F.expr("l.conv_id <=> r.conv_id"), "left")
+            .join(repair.digests(pieces).alias("d"), F.expr("l.conv_id <=> d.conv_id"), "left")
+            .select("l.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 ORACLES |= {"op1_nearest_neighbours": oracles.OP1, "op6_repeated_passages": oracles.OP6,
-            "op7_near_duplicates": oracles.OP7, "op10_mix_sources": mixing.oracle()}
+            "op7_near_duplicates": oracles.OP7, "op10_mix_sources": mixing.oracle(),
+            "op13_conversation_repair": oracles_conversations.OP13}
