@@ -83,3 +83,37 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
        coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+OP11 = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+members AS (
+  SELECT conv_id, {crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+joined AS (
+  SELECT m.conv_id, 0 AS side, t.pos, t.role, t.text FROM members m JOIN turns t ON t.conv_id = m.conv_id - m.conv_id % 100
+  WHERE t.pos < m.h
+  UNION ALL SELECT m.conv_id, 1, t.pos, t.role, t.text FROM members m JOIN turns t USING (conv_id) WHERE t.pos >= m.h),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY side, pos) AS depth,
+         md5(length(role) || ':' || role || text) AS turn, length(text) AS chars FROM joined),
+prefixes AS (
+  SELECT conv_id, depth, chars, string_agg(turn, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS name FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM members),
+ends AS (
+  SELECT name, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(name, depth) AS name FROM prefixes GROUP BY conv_id) GROUP BY name),
+nodes AS (
+  SELECT name, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(chars) AS chars, count(*) AS n_convs,
+         CASE WHEN any_value(depth) = 0 THEN NULL ELSE left(name, greatest(length(name) - 33, 0)) END AS up
+  FROM prefixes GROUP BY name),
+children AS (SELECT up AS name, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children, (n_convs - 1) * chars AS saved FROM nodes LEFT JOIN children USING (name)),
+below AS (
+  SELECT p.name, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum(w.saved) AS saved_tokens
+  FROM counted w JOIN prefixes p ON p.conv_id = w.conv_id AND p.depth <= w.depth GROUP BY p.name)
+SELECT c.conv_id, c.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM counted c JOIN below b USING (name) LEFT JOIN nodes u ON u.name = c.up LEFT JOIN ends e ON e.name = c.name"""

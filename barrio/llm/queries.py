@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barrio.llm import (decontam, importance, mixing, near_dedup, neighbours, oracles, oracles_conversations, page_text,
-                        pii, repair, repeats, token_counts, url_filter)
+                        pii, prefix_trie, repair, repeats, token_counts, url_filter)
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -97,6 +97,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    return (nodes.join(prefix_trie.end_digests(ends), ["a", "b"], "left")
+            .withColumn("ends_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("a", "b", "sha256"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
@@ -112,4 +119,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES |= {"op1_nearest_neighbours": oracles.OP1, "op6_repeated_passages": oracles.OP6,
             "op7_near_duplicates": oracles.OP7, "op10_mix_sources": mixing.oracle(),
+            "op11_prefix_trie": oracles_conversations.OP11,
             "op13_conversation_repair": oracles_conversations.OP13}
