@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barrio.llm import (decontam, importance, mixing, near_dedup, neighbours, oracles, oracles_conversations, page_text,
-                        pii, prefix_trie, repair, repeats, token_counts, url_filter)
+                        pii, prefix_trie, repair, repeats, simhash, token_counts, url_filter)
 from barrio.llm.tables import table
 
 QUERIES = {}
@@ -104,6 +104,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("ends_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("a", "b", "sha256"))
 
 
+@query
+def op12_similar_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
