@@ -19,6 +19,7 @@ from barrio.session import scratch_path
 from barrio.sources.files import read_drifting_csv, read_jsonl
 from barrio.sources.sinks import json_writer, land_csv_by_year, land_json, replace_snapshot
 from barrio.sources.upsert import upsert
+from barrio.sources.versioned import read_table
 from barrio.streaming.incremental import incremental_load
 from barrio.streaming.stream import stream_upsert
 
@@ -131,7 +132,7 @@ def incremental_files(spark, d):
     json_writer(oy.filter(F.col("year") >= 1999)).json(f"{root}/landing/drop2")
     incremental_load(*args, partition_col="year")
     incremental_load(*args, partition_col="year")
-    return spark.read.parquet(f"{root}/table").select(*o.columns, "year")
+    return read_table(spark, f"{root}/table").select(*o.columns, "year")
 
 
 @query("upsert_last_write_wins", f"""
@@ -152,7 +153,7 @@ def upsert_last_write_wins(spark, d):
             .withColumn("o_totalprice", F.col("o_totalprice") * 2)
             .withColumn("version", F.lit(2)))
     upsert(spark, b2, path, ["o_orderkey"], ["version"], "year", key_buckets=4)
-    return spark.read.parquet(path).select(*o.columns, "year", "version")
+    return read_table(spark, path).select(*o.columns, "year", "version")
 
 
 @query("union_flexible_schema", """
@@ -192,5 +193,5 @@ def stream_upsert_query(spark, d):
     stream_upsert(**args)
     json_writer(e.filter(~first)).json(f"{root}/src/drop2")
     stream_upsert(**args)
-    return spark.read.parquet(f"{root}/table").select(
+    return read_table(spark, f"{root}/table").select(
         "user_id", "event_id", "ts", "event_type", "value", "props")

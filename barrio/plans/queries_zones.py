@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barrio import zones
 from barrio.plans import area_year as ay
+from barrio.operators import maintain
 from barrio.plans import docs, sql
 from barrio.plans.catalog import query, rounded
 from barrio.plans.tables import table
 from barrio.session import scratch_path
 from barrio.sources.sinks import json_writer, land_json, replace_snapshot
+from barrio.streaming.incremental import incremental_load
 
 ZONE_PRICES = """
   SELECT lower(trim(n.n_name)) AS join_neigh, y.year, avg(y.PerMeter) AS average_price_per_square_meter
@@ -84,3 +87,57 @@ def zones_end_to_end(spark, d):
     out = zones.build_exploitation(spark, f"{root}/formatted/prices", f"{root}/formatted/incidents",
                                    f"{root}/formatted/sites", f"{root}/exploitation", ay.AS_OF)
     return rounded(out.select(*[c for c in out.columns if c != "year"], F.col("year").cast("int")))
+
+
+def _dropped(rows, key, wrong):
+    """Three drops of keyed rows: a third of the rows comes late, a fifth with
+    wrong values first, put right in the second or third drop."""
+    k = F.pmod(F.xxhash64(*key), F.lit(30))
+    bad = k % 5 == 0
+    first = rows.where(k % 3 > 0)
+    columns = [F.when(bad, wrong[c]).otherwise(F.col(c)).alias(c) if c in wrong else F.col(c) for c in rows.columns]
+    return [first.select(*columns), rows.where((k % 3 == 0) | (k % 10 == 0)), rows.where(bad & (k % 10 > 0))]
+
+
+@query("unified_incremental", sql.round_cols(sql.UNIFIED, [
+        "average_antiquity_cultural_sites", "average_price_per_square_meter"]))
+def unified_incremental(spark, d):
+    """A1-A3 + W1: three drops of each source are loaded one after the other;
+    what each changes is merged into stored sums, and the unified model read
+    from these equals the full rebuild."""
+    root = scratch_path(spark, "unified-incremental")
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+    supplier = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    lines = table(spark, d, "lineitem")
+    # an order may hold a line number several times
+    nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_shipdate", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity"))
+    lines = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", nth).alias("price_id"), "l_suppkey",
+        F.year("l_shipdate").alias("year"), F.try_divide("l_extendedprice", "l_quantity").alias("price_per_meter"))
+    prices = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "price_id", F.col("n_name").alias("neighborhood_name"), "year", "price_per_meter")
+    accidents = _incident_landing(spark, d).select(
+        F.col("o_orderkey").alias("expedient_id"), F.col("c_nationkey").alias("neighborhood_id"),
+        F.col("n_name").alias("neighborhood_name"), "year", F.col("victims").alias("num_victims"),
+        F.col("deaths").alias("num_deaths"), F.col("minor").alias("num_minor_injuries"),
+        F.col("serious").alias("num_serious_injuries"))
+    sites = ay.site_records(spark, d).withColumn("created", F.date_format("created", "yyyy-MM-dd"))
+    sources = {
+        "prices": (prices, ["price_id"], maintain.PRICES, "year",
+                   {"price_per_meter": F.col("price_per_meter") * 3, "neighborhood_name": F.lit("elsewhere")}),
+        "incidents": (accidents, ["expedient_id"], maintain.INCIDENTS, "year",
+                      {"neighborhood_id": F.lit(99).cast("int"), "num_victims": F.lit(None).cast("bigint")}),
+        "sites": (sites, ["register_id"], maintain.SITES, None,
+                  {"neighborhood_name": F.upper("neighborhood_name"), "created": F.lit("1990-01-01")}),
+    }
+    states = {}
+    for drop in range(3):
+        for name, (rows, key, spec, year, wrong) in sources.items():
+            batch = _dropped(rows, key, wrong)[drop].withColumn("drop", F.lit(drop))
+            json_writer(batch).json(f"{root}/landing/{name}/drop{drop}")
+            incremental_load(spark, f"{root}/landing/{name}", f"{root}/ledger/{name}", f"{root}/formatted/{name}",
+                             batch.schema, key, version=["drop"], partition_col=year, year_col=year,
+                             changes=True)
+            states[name] = maintain.maintain(spark, f"{root}/formatted/{name}", f"{root}/state/{name}", spec)
+    return rounded(maintain.unified_from_states(states["prices"], states["incidents"], states["sites"], ay.AS_OF))

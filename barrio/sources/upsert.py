@@ -1,16 +1,15 @@
-"""Keyed upsert into a parquet table (last write wins).
+"""Keyed upsert into a versioned table (last write wins).
 
 Touched partitions of the table are read, unioned with the batch and
 reduced to the newest row per key (skew-safe aggregate, see dedupe).  The
-merged rows are checkpointed to the shared checkpoint folder -- that cuts
-the lineage back to the files about to be replaced -- and written with a
-dynamic partition overwrite, so untouched partitions are never rewritten.
+merged rows go to a folder of their own and become the table by one pointer
+switch (``versioned``): a write that fails at any moment leaves the table as
+it was, and running the batch again gives what one run gives.  Untouched
+partitions are neither read nor written.
 Partition columns must be fixed per key (e.g. the year of an order).
 Adding ``key_bucket`` (a hash of the key) as a last partition level makes
 a batch rewrite only the buckets its keys fall in -- 1/n of a year instead
 of the whole year -- which is what keeps upserts cheap on a 100 TB table.
-Not atomic on plain parquet: a crash mid-write is repaired by re-running
-the same batch, which is why ledgers are appended after the write.
 """
 
 from __future__ import annotations
@@ -19,12 +18,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from barrio.functions.noise import hash32
 from barrio.operators.dedupe import latest
+from barrio.sources import versioned
 
 BUCKET_COL = "_key_bucket"
+FEEDS = 100                  # versions whose changes a table keeps
 
 
 def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int, out: str = BUCKET_COL) -> DataFrame:
@@ -32,46 +32,61 @@ def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int, out: str =
     return df.withColumn(out, F.pmod(hash32(*[F.col(k) for k in keys], seed=0), F.lit(buckets)).cast("int"))
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def merge_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                  version: Sequence[Column | str]) -> DataFrame:
     rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
     return latest(rows, keys, version)
 
 
+def _touched(current: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows in the partitions of the batch (a null value is a partition too)."""
+    touched = batch.select(*parts).distinct()
+    same = [F.col(f"t.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in parts]
+    return current.alias("t").join(touched.alias("b"), same, "left_semi")
+
+
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            version: Sequence[Column | str], partition_col: str | Sequence[str] | None = None,
-           key_buckets: int | None = None) -> bool:
+           key_buckets: int | None = None, changes: bool = False, keep_versions: int = 2) -> bool:
     """Merge ``batch`` into the table at ``path``; False when the batch was
     empty (F3 probe: nothing is rewritten).  ``key_buckets`` adds a
-    ``_key_bucket`` partition level (after ``partition_col``)."""
+    ``_key_bucket`` partition level (after ``partition_col``); a table keeps
+    the partitioning it was made with.  ``changes`` also writes the signed
+    rows that came and went (``versioned.read_changes``).  The version before
+    stays readable for jobs that are reading it (``keep_versions``)."""
     if batch.isEmpty():
         return False
+    before = versioned.current(spark, path)
     parts = [partition_col] if isinstance(partition_col, str) else list(partition_col or [])
+    properties = dict(before.properties) if before else {}
+    key_buckets = properties.get("key_buckets", key_buckets) if before else key_buckets
     if key_buckets:
         batch = with_key_bucket(batch, keys, key_buckets)
         parts.append(BUCKET_COL)
-    cur = _existing(spark, path)
-    if cur is not None and parts:
-        touched = batch.select(*parts).distinct()
-        cur = cur.join(touched, parts, "left_semi")
-    merged = merge_latest(cur, batch, keys, version)
+        properties["key_buckets"] = key_buckets
+    if before and parts != before.partition_columns:
+        raise ValueError(f"{path} is partitioned by {before.partition_columns}, not {parts}")
+    cur = versioned.table_or_none(spark, path)
+    if cur is not None and before is None and key_buckets and BUCKET_COL not in cur.columns:
+        cur = with_key_bucket(cur, keys, key_buckets)     # a plain folder, taken over whole
+    touched = _touched(cur, batch, parts) if before and parts else cur
+    merged = merge_latest(touched, batch, keys, version)
     if parts:
         # one writer per partition directory (no task x partition small
         # files); AQE splits a skewed one -- and key buckets spread it anyway
         merged = merged.hint("rebalance", *parts)
-    if cur is not None:
-        merged = merged.checkpoint(eager=True)
-    w = merged.write.mode("overwrite")
-    if parts:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+    tx, folders = versioned.write_data(merged, path, parts)
+    number = before.number + 1 if before else 1
+    now = versioned.Version(number, merged.schema, parts,
+                            (before.parts if before else {}) | dict.fromkeys(folders, tx), properties)
+    if changes:
+        written = versioned._rows(spark, path, now, dict.fromkeys(folders, tx))
+        feed = versioned.write_changes(touched, written, path)
+        properties["feeds"] = dict(list(properties.get("feeds", {}).items())[1 - FEEDS:]) | {str(number): feed}
     else:
-        w = w.option("partitionOverwriteMode", "static")
-    w.parquet(path)
+        properties.pop("feeds", None)
+    versioned.publish(spark, path, now)
+    if before is None and cur is not None:
+        versioned.drop_plain(spark, path)
+    versioned.drop_superseded(spark, path, keep_versions)
     return True

@@ -24,8 +24,9 @@ def incremental_load(spark: SparkSession, landing: str, ledger_path: str, table_
                      schema: StructType, keys: Sequence[str],
                      version: Sequence[Column | str] | None = None,
                      partition_col: str | None = None, year_col: str | None = "year",
-                     pattern: str = "*.json") -> DataFrame:
-    """Process new or modified files; returns the ledger rows it appended."""
+                     pattern: str = "*.json", key_buckets: int | None = None, changes: bool = False) -> DataFrame:
+    """Process new or modified files; returns the ledger rows it appended.
+    ``changes`` keeps the rows that came and went (``operators.maintain``)."""
     todo = pending_files(list_files(spark, landing, pattern), read_ledger(spark, ledger_path))
     files = todo.select("path", "modificationTime").orderBy("path").collect()
     if not files:
@@ -35,7 +36,7 @@ def incremental_load(spark: SparkSession, landing: str, ledger_path: str, table_
              .withColumn("_src_mtime", F.col("_metadata.file_modification_time"))
              .checkpoint(eager=True))      # one parse of the raw files (upsert + stats)
     upsert(spark, batch, table_path, keys,
-           version or [F.col("_src_mtime"), F.col("_src_path")], partition_col)
+           version or [F.col("_src_mtime"), F.col("_src_path")], partition_col, key_buckets, changes)
     last = F.max(year_col).cast("int") if year_col else F.lit(None).cast("int")
     stats = (batch.groupBy(F.col("_src_path").alias("path"))
              .agg(F.count(F.lit(1)).alias("rows"), last.alias("last_year")))

@@ -24,7 +24,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from barrio.operators.aggregates import avg_price, incident_totals, site_totals
 from barrio.operators.dedupe import latest
@@ -35,6 +34,7 @@ from barrio.sources.files import list_files, read_drifting_csv, read_json_docume
 from barrio.sources.ledger import LEDGER_SCHEMA, append_ledger, pending_files, read_ledger
 from barrio.sources.sinks import write_jsonl, write_partitioned
 from barrio.sources.upsert import upsert
+from barrio.sources.versioned import read_table, table_or_none
 
 PRICE_DOC_SCHEMA = (
     "_id bigint, district_id bigint, district_name string, `neigh_name ` string, neigh_name string, "
@@ -45,13 +45,9 @@ SITE_DOC_SCHEMA = (
     "addresses array<struct<neighborhood_name: string>>")
 VERSION = ["_src_mtime", "_src_path"]
 CORRUPT = "_corrupt_record"
-
-
-def _table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+# partitions (by key hash) of a formatted table without a year: a drop rewrites
+# those its keys fall in.  A table keeps the number it was made with.
+KEY_BUCKETS = 8
 
 
 def _pending(spark: SparkSession, landing: str, ledger: str, pattern: str) -> list:
@@ -104,7 +100,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
     docs, bad = _read_lines(spark, [f["path"] for f in files], PRICE_DOC_SCHEMA)
     docs = docs.withColumn("neigh_name ", F.coalesce(F.col("`neigh_name `"), F.col("neigh_name"))) \
                .drop("neigh_name")
-    cur = _table(spark, formatted)
+    cur = table_or_none(spark, formatted)
     if cur is not None:
         wm = cur.groupBy("neighborhood_id").agg(F.max("year").alias("_wm"))
         docs = docs.join(wm, docs["_id"].try_cast("int") == wm["neighborhood_id"], "left").drop("neighborhood_id")
@@ -120,7 +116,7 @@ def format_price_files(spark: SparkSession, landing: str, formatted: str, ledger
 
 
 def format_incident_files(spark: SparkSession, landing: str, formatted: str, ledger: str,
-                          pattern: str = "*.csv", **csv_options) -> DataFrame:
+                          pattern: str = "*.csv", key_buckets: int = KEY_BUCKETS, **csv_options) -> DataFrame:
     """Incidents: yearly CSV files whose layout drifts -> one row per
     ``expedient_id`` (newest file wins); layouts missing the id are
     quarantined and recorded in the ledger with that status."""
@@ -134,7 +130,7 @@ def format_incident_files(spark: SparkSession, landing: str, formatted: str, led
     batch = (latest(batch, ["expedient_id"], VERSION)
              .withColumn("_id", F.col("expedient_id").cast("string"))
              .checkpoint(eager=True))
-    upsert(spark, batch, formatted, ["expedient_id"], VERSION)
+    upsert(spark, batch, formatted, ["expedient_id"], VERSION, key_buckets=key_buckets)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("year").alias("last_year"))
     status = res.report.select(F.col("file_path").alias("path"), "status").filter(F.col("status") != "ok")
@@ -142,7 +138,7 @@ def format_incident_files(spark: SparkSession, landing: str, formatted: str, led
 
 
 def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger: str,
-                      pattern: str = "*.json", documents: bool = False) -> DataFrame:
+                      pattern: str = "*.json", documents: bool = False, key_buckets: int = KEY_BUCKETS) -> DataFrame:
     """Sites: snapshot records -> one row per ``register_id`` (G2 + D2).
     ``documents=True`` reads whole-file JSON arrays instead of JSON Lines."""
     files = _pending(spark, landing, ledger, pattern)
@@ -160,7 +156,7 @@ def format_site_files(spark: SparkSession, landing: str, formatted: str, ledger:
     batch = (latest(format_sites(raw), ["register_id"], VERSION)
              .withColumn("_id", F.col("register_id").cast("string"))
              .checkpoint(eager=True))
-    upsert(spark, batch, formatted, ["register_id"], VERSION)
+    upsert(spark, batch, formatted, ["register_id"], VERSION, key_buckets=key_buckets)
     stats = batch.groupBy(F.col("_src_path").alias("path")).agg(
         F.count(F.lit(1)).alias("rows"), F.lit(None).cast("int").alias("last_year"))
     return _record(spark, files, stats, ledger, bad)
@@ -170,9 +166,9 @@ def build_exploitation(spark: SparkSession, prices: str, incidents: str, sites:
                        as_of: str | dt.date, flags: bool = False) -> DataFrame:
     """J-3 + K5: the unified model over the formatted tables, written
     partitioned by year; returns the written table."""
-    u = unified_model(avg_price(spark.read.parquet(prices)),
-                      incident_totals(spark.read.parquet(incidents)),
-                      site_totals(spark.read.parquet(sites), as_of), flags=flags)
+    u = unified_model(avg_price(read_table(spark, prices)),
+                      incident_totals(read_table(spark, incidents)),
+                      site_totals(read_table(spark, sites), as_of), flags=flags)
     write_partitioned(u, out, "year")
     return spark.read.parquet(out)
 

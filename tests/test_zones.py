@@ -2,8 +2,8 @@ import json
 import os
 import time
 
-
 from barrio import zones
+from barrio.sources.versioned import read_table
 
 from conftest import rows
 from test_nested_dedupe import PRICES
@@ -40,21 +40,21 @@ def test_zones_end_to_end(spark, tmp):
     # nothing new on a second pass
     assert zones.format_price_files(spark, f"{land}/prices", f"{f}/prices", f"{led}/prices").count() == 0
     assert zones.format_incident_files(spark, f"{land}/incidents", f"{f}/incidents", f"{led}/incidents").count() == 0
-    assert rows(spark.read.parquet(f"{f}/prices"), "_id") == [("1-2019",), ("1-2020",), ("2-2019",)]
-    assert rows(spark.read.parquet(f"{f}/incidents"), "expedient_id", "year") == [
+    assert rows(read_table(spark, f"{f}/prices"), "_id") == [("1-2019",), ("1-2020",), ("2-2019",)]
+    assert rows(read_table(spark, f"{f}/incidents"), "expedient_id", "year") == [
         ("E1", 2019), ("E2", 2019), ("E9", 2019)]
     # a file modified in place is processed again; its newer rows win
     time.sleep(1.1)
     _put(f"{land}/incidents/year_2019/accidents_2019.csv",
          "Numero_expedient,Codi_barri,Nom_barri,NK_Any,Numero_victimes,Numero_morts\nE1,1, Alpha,2019,7,1\n")
     assert zones.format_incident_files(spark, f"{land}/incidents", f"{f}/incidents", f"{led}/incidents").count() == 1
-    got = {r["expedient_id"]: r["num_victims"] for r in spark.read.parquet(f"{f}/incidents").collect()}
+    got = {r["expedient_id"]: r["num_victims"] for r in read_table(spark, f"{f}/incidents").collect()}
     assert got == {"E1": 7, "E2": None, "E9": 5}
     # a new price snapshot only adds years after each area's watermark
     newer = [dict(PRICES[1], info=[{"year": 2019, "PerMeter": 99.0}, {"year": 2021, "PerMeter": 21.0}])]
     _put(f"{land}/prices/p2.json", json.dumps(newer[0]) + "\n")
     zones.format_price_files(spark, f"{land}/prices", f"{f}/prices", f"{led}/prices")
-    prices = {r["_id"]: r["price_per_meter"] for r in spark.read.parquet(f"{f}/prices").collect()}
+    prices = {r["_id"]: r["price_per_meter"] for r in read_table(spark, f"{f}/prices").collect()}
     assert prices == {"1-2019": 10.0, "1-2020": 12.0, "2-2019": 20.0, "2-2021": 21.0}
     out = zones.build_exploitation(spark, f"{f}/prices", f"{f}/incidents", f"{f}/sites",
                                    f"{tmp}/exploitation", "2001-01-01")
@@ -98,5 +98,5 @@ def test_formatted_collections_carry_their_key_as_id(spark, tmp):
     _put(f"{land}/sites/s.json", json.dumps({"register_id": "s1", "addresses": [{"neighborhood_name": "x"}]}) + "\n")
     zones.format_incident_files(spark, f"{land}/incidents", f"{tmp}/f/i", f"{tmp}/l/i")
     zones.format_site_files(spark, f"{land}/sites", f"{tmp}/f/s", f"{tmp}/l/s")
-    assert rows(spark.read.parquet(f"{tmp}/f/i"), "_id", "expedient_id") == [("E1", "E1")]
-    assert rows(spark.read.parquet(f"{tmp}/f/s"), "_id", "register_id") == [("s1", "s1")]
+    assert rows(read_table(spark, f"{tmp}/f/i"), "_id", "expedient_id") == [("E1", "E1")]
+    assert rows(read_table(spark, f"{tmp}/f/s"), "_id", "register_id") == [("s1", "s1")]
