@@ -374,8 +374,9 @@ def repaired(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     """(report, pieces) of every conversation that has a row.
 
     report: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit.
-    pieces: conv_id, part, at, turns: the repaired turns (edit, role, text) in
-    order; most conversations are one piece, long ones several by (part, at).
+    pieces: conv_id, part, at, turns (edit, role, text), whole: the repaired
+    turns in order; ``whole`` conversations are one row, others (those that are
+    long or at the edge of a task) pieces by (part, at).
     """
     rows = picked(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
     rows = rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
@@ -408,18 +409,20 @@ def repaired(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
               .select("l.conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
                       F.array_join("r.a.audit", "").alias("audit")))
     report = whole.select(*totals.columns).unionByName(totals)
-    return report, whole.select(*key, "turns").unionByName(parts.select(*key, "turns"))
+    return report, (whole.select(*key, "turns", F.lit(True).alias("whole"))
+                    .unionByName(parts.select(*key, "turns", F.lit(False).alias("whole"))))
 
 
 def digests(parts: DataFrame) -> DataFrame:
     """(conv_id, sha256) of the repaired ``role:text`` lines of each conversation."""
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
-    # conversations in several pieces: one after another; pieces without a turn leave no line
-    n = parts.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.size("turns")).alias("n_turns"))
-    rows = parts.alias("l").join(n.alias("r"), _same("conv_id")).select("l.*", "r.n", "r.n_turns")
-    one = rows.where("n = 1 OR n_turns = 0").select("conv_id", F.sha2(lines, 256).alias("sha256")).distinct()
-    more = rows.where("n > 1 AND size(turns) > 0").select("conv_id", "part", "at", lines.alias("text"))
-    return one.unionByName(chained_digests(more, ["conv_id"], "\n"))
+    whole = parts.where("whole").select("conv_id", F.sha2(lines, 256).alias("sha256"))
+    # the others piece by piece; pieces without a turn leave no line
+    pieced = parts.where("NOT whole")
+    none = (pieced.groupBy("conv_id").agg(F.max(F.size("turns")).alias("n")).where("n = 0")
+            .select("conv_id", F.sha2(F.lit(""), 256).alias("sha256")))
+    some = pieced.where("size(turns) > 0").select("conv_id", "part", "at", lines.alias("text"))
+    return whole.unionByName(none).unionByName(chained_digests(some, ["conv_id"], "\n"))
 
 
 def damaged(turns: DataFrame) -> DataFrame:
