@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,15 +59,33 @@ FRAME_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsen
 comments consent cookie cookies disclaimer footer masthead menu modal nav navbar navigation newsletter notice
 notification pager pagination popup promo promoted promotion related replies respond share sharing sidebar social
 sponsor sponsored subscribe toolbar widget""".split())
+# words that may stand beside a frame word in one class or id (side-nav, comment-list)
+WITH_FRAME = frozenset("""area article articles bar block body bottom box button buttons center col column container content
+desktop el fixed form global group header icons inner item items js left link links list main mobile outer page pane panel
+post posts primary reader right root row secondary section signup site slot small sticky stories tertiary text thread top
+unit user wrap wrapper""".split())
 ARTICLE_WORDS = frozenset("ad advert advertisement comment comments promo related sponsored teaser".split())
+# elements that an implied end of a paragraph or list item does not reach over
+BOUNDS = frozenset("div ul ol dl table td section body".split())
+TABLE = 1 << 28              # cells of an alignment whose rows are held
 ENDS_P = BLOCKS - {"html", "body", "caption", "tbody", "tfoot", "thead", "tr", "li", "dd", "dt"}
 
-_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""",
+_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""",
                   re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
+def _names_frame(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names in a class or id is a frame's: it has a frame
+    word, and none that tells of something else (social-history does not)."""
+    for name in value.split():
+        parts = _WORD.findall(name)
+        if any(p in words for p in parts) and all(p in words or p in FRAME_WORDS or p in WITH_FRAME for p in parts):
+            return True
+    return False
+
+
 def _is_frame(name: str, attributes: str) -> bool:
     if name in FRAMES:
         return True
@@ -77,7 +95,7 @@ def _is_frame(name: str, attributes: str) -> bool:
     words = ARTICLE_WORDS if name == "article" else FRAME_WORDS
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and any(w in words for w in _WORD.findall(value)):
+        if key in ("class", "id") and _names_frame(value, words):
             return True
         if key == "role" and value.strip() in FRAME_ROLES:
             return True
@@ -86,25 +104,64 @@ def _is_frame(name: str, attributes: str) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, with each name's places, so that no lookup scans them."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.adds: list[str] = []                      # what each adds to the depth
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.bounds: list[int] = []                    # places that an implied end does not pass
+        self.depth = {"frame": 0, "article": 0, "main": 0}
+
+    def push(self, name: str, adds: str) -> None:
+        if adds:
+            self.depth[adds] += 1
+        if adds or name in BOUNDS:
+            self.bounds.append(len(self.names))
+        self.places[name].append(len(self.names))
+        self.names.append(name)
+        self.adds.append(adds)
+
+    def last(self, name: str) -> int:
+        """The innermost place of an element, or -1."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def implied(self, name: str) -> int:
+        """That place if no bound is inside it, or -1."""
+        at = self.last(name)
+        return at if not self.bounds or self.bounds[-1] <= at else -1
+
+    def close(self, at: int) -> None:
+        for i in range(len(self.names) - 1, at - 1, -1):
+            self.places[self.names[i]].pop()
+            if self.adds[i]:
+                self.depth[self.adds[i]] -= 1
+            if self.bounds and self.bounds[-1] == i:
+                self.bounds.pop()
+        del self.names[at:], self.adds[at:]
+
+    def marked(self, at: int) -> bool:
+        """Whether an element from that place on adds to the depth."""
+        return any(self.adds[at:])
+
+
 def page_lines(page: str) -> list[tuple[str, str]]:
     """(zone, line) of each block of visible text, in page order."""
     lines: list[tuple[str, str]] = []
-    stack: list[tuple[str, str]] = []            # open elements, and what each adds
+    stack = _Open()
     held: list[str] = []
-    depth = {"frame": 0, "article": 0, "main": 0}
 
     def end_line() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            lines.append((next((zone for zone, n in depth.items() if n), "open"), text))
+            lines.append((next((zone for zone, n in stack.depth.items() if n), "open"), text))
 
     def close(at: int) -> None:
         end_line()
-        for _, adds in stack[at:]:
-            if adds:
-                depth[adds] -= 1
-        del stack[at:]
+        stack.close(at)
 
     at, n = 0, len(page)
     while at < n:
@@ -119,13 +176,12 @@ def page_lines(page: str) -> list[tuple[str, str]]:
         if m[1]:
             if name in BLOCKS:
                 end_line()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    if name in BLOCKS or any(adds for _, adds in stack[i:]):
-                        close(i)
-                    else:
-                        del stack[i:]
-                    break
+            i = stack.last(name)
+            if i >= 0:
+                if name in BLOCKS or stack.marked(i):
+                    close(i)
+                else:
+                    stack.close(i)
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -139,64 +195,85 @@ def page_lines(page: str) -> list[tuple[str, str]]:
             continue
         if name in ENDS_P or name in ("li", "dd", "dt", "tr"):
             # a block ends an open paragraph, a list item the one before it
-            ended = "p" if name in ENDS_P else name
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == ended:
-                    close(i)
-                    break
-                if stack[i][1] or stack[i][0] in ("div", "ul", "ol", "dl", "table", "td", "section", "body"):
-                    break
+            i = stack.implied("p" if name in ENDS_P else name)
+            if i >= 0:
+                close(i)
         adds = ""
-        if _is_frame(name, m[3]) or (name == "header" and not depth["article"]):
+        if _is_frame(name, m[3]) or (name == "header" and not stack.depth["article"] and not stack.depth["main"]):
             adds = "frame"
         elif name in ("article", "main"):
             adds = name
         elif "role=\"main\"" in m[3]:
             adds = "main"
-        if adds:
-            depth[adds] += 1
-        stack.append((name, adds))
+        stack.push(name, adds)
     end_line()
     return lines
 
 
+def _rows_of(a: list[str], b: list[str]) -> list[int]:
+    """Bit sets of ``b`` after each line of ``a``: a zero where one more line of
+    ``b`` makes a common subsequence longer."""
+    places: dict[str, int] = defaultdict(int)
+    for j, line in enumerate(b):
+        places[line] |= 1 << j
+    whole = (1 << len(b)) - 1
+    row, rows = whole, []
+    for line in a:
+        hits = row & places.get(line, 0)
+        row = ((row + hits) | (row - hits)) & whole
+        rows.append(row)
+    return rows
+
+
+def _common(a: list[str], b: list[str]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``."""
+    if len(a) * len(b) > TABLE and len(a) > 1:
+        # halve a; the cut of b is where both halves' subsequences add up to most
+        half = len(a) // 2
+        ahead = _lengths(_rows_of(a[:half], b)[-1], len(b))
+        back = _lengths(_rows_of(a[:half - 1:-1], b[::-1])[-1], len(b))
+        cut = int((ahead + back[::-1]).argmax())
+        return _common(a[:half], b[:cut]) + [half + i for i in _common(a[half:], b[cut:])]
+    rows, i, j, found = _rows_of(a, b), len(a), len(b), []
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                found.append(i)
+                j -= 1
+    return found[::-1]
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """The longest common subsequence with each beginning of n lines."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n]
+    return np.r_[0, np.cumsum(1 - bits.astype(np.int64))]
+
+
 def shared_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` on a longest common subsequence with ``b``."""
-    shared, low, high = set(), 0, 0
+    """Places in ``a`` on a longest common subsequence with ``b``.
+
+    Rows of the table are bit sets, so equal lines cost no more than others;
+    above ``TABLE`` cells the first half is solved before the second, and no
+    more than two rows are held.
+    """
+    low, high = 0, 0
     while low < min(len(a), len(b)) and a[low] == b[low]:
-        shared.add(low)
         low += 1
     while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
         high += 1
-        shared.add(len(a) - high)
-    places = defaultdict(list)
-    for j in range(len(b) - high - 1, low - 1, -1):
-        places[b[j]].append(j)
-    # longest rising run of matching places; links[x] ends one of each length
-    ends: list[int] = []
-    links: list[tuple] = []
-    for i in range(low, len(a) - high):
-        for j in places.get(a[i], ()):
-            at = bisect_left(ends, j)
-            node = (i, links[at - 1] if at else None)
-            if at == len(ends):
-                ends.append(j)
-                links.append(node)
-            else:
-                ends[at], links[at] = j, node
-    node = links[-1] if links else None
-    while node:
-        shared.add(node[0])
-        node = node[1]
-    return shared
+    inner = _common(a[low:len(a) - high], b[low:len(b) - high])
+    return {*range(low), *range(len(a) - high, len(a)), *(low + i for i in inner)}
 
 
 def main_text(lines: list[tuple[str, str]], shared: set[int]) -> str:
-    """The page's text: its own lines outside frames."""
-    zones = {zone for zone, _ in lines}
-    kind = next((zone for zone in ("article", "main") if zone in zones), "open")
-    return "\n".join(text for i, (zone, text) in enumerate(lines)
-                     if zone == kind and (kind != "open" or i not in shared))
+    """The page's text: its own lines outside frames.  Where a page marks an
+    article or a main part, the lines inside either."""
+    marked = any(zone in ("article", "main") for zone, _ in lines)
+    return "\n\n".join(text for i, (zone, text) in enumerate(lines) if (
+        zone in ("article", "main") if marked else zone == "open" and i not in shared))
 
 
 class _Run:
