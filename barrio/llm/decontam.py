@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barrio.llm.tables import picked
+from barrio.llm.tables import col, map_rows, picked, unused
 from barrio.llm.words import LOWER, chunks, powers
 
 Q = 12
@@ -263,16 +263,14 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
     The list's column is ``name``, with ``_`` added while the input has it.
     """
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, name)
     out = docs.withColumn(name, F.expr("cast(array() as array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>)"))
-    schema = out.schema
     for ids, texts in _rounds(picked(benchmark, item_id="item_id", text="text")):
-        out = out.mapInArrow(_search(ids, texts, text_col, name), schema)
+        out = map_rows(out, _search(ids, texts, text_col, name))
     return out
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage."""
     found = benchmark_passages(docs, benchmark, text_col)
-    return found.where(F.size(found.columns[-1]) == 0).select(*[f"`{c}`" for c in docs.columns])
+    return found.where(F.size(col(found.columns[-1])) == 0).select(*map(col, docs.columns))

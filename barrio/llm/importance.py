@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barrio.llm.tables import col, kept
+from barrio.llm.tables import col, kept, map_rows, unused
 from barrio.llm.words import LOWER, Words, chunks, join2, mix, powers, range_hashes
 
 BITS, HEAD = 20, 4
@@ -271,9 +271,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     """
     names = {"text": text_col}
     for own in ("label", "score", "chosen", "known_id", "grams"):
-        names[own] = own
-        while names[own] in docs.columns:
-            names[own] += "_"
+        names[own] = unused(docs, own, *names.values())
     known = (labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(names["known_id"]))
              .agg(F.min(F.coalesce(((F.col("quality") == 1) & (F.col("toxic") == 0)), F.lit(False)).cast("int"))
                   .alias(names["label"])))
@@ -300,11 +298,11 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     level = float((target * _weight(target, raw * share)).sum() / max(all_target or 0, 1))
     score = _scores(names, model["bucket"].to_numpy(np.int64), raw, target, share, level)
 
-    judged = kept(rows.where(col(names["label"]).isNotNull()).mapInArrow(score, rows.schema).select(
+    judged = kept(map_rows(rows.where(col(names["label"]).isNotNull()), score).select(
         col(id_col).alias("id"), col(names["label"]).alias("label"), col(names["score"]).alias("score"),
         col(names["grams"]).alias("grams")), "iw-judged")
     fit = _length_fit(judged)
-    scored = rows.mapInArrow(score, rows.schema)
+    scored = map_rows(rows, score)
     scored = scored.withColumn(names["score"], _comparable(scored[names["score"]], scored[names["grams"]], fit))
     perturbed = col(names["score"]) + _gumbel(col(id_col), seed)
     if k is not None:

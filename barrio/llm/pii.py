@@ -17,7 +17,8 @@ values get equal pseudonyms in every document:
 
 Values without a number format get a keyed digest: e-mail addresses a local
 part at a reserved domain, passwords, tokens and keys as many hex digits.
-Numbers that are not valid in one of the formats stay.
+Numbers that are not valid in one of the formats stay.  The key is the
+caller's secret: whoever knows it can undo the permutations.
 
 The network alternates between a value's halves l in [0, a) and r in [0, b):
 l += H(key, kind, step, r) mod a, then r += H(key, kind, step, l) mod b.  Each
@@ -32,13 +33,17 @@ others; other columns pass unchanged.  DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barrio.llm.tables import col
+from barrio.llm.tables import col, unused
 
 STEPS = 10
-KEY = "replace this key"
+KEY_SETTING = "spark.barrio.pseudonym.key"
+DEMO_KEY = "no secret: for runs on made-up data"
+MARK = "\uE000"              # stands around each match while a text is searched
 
 # Countries by the length of their account numbers.
 IBAN = {15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
@@ -49,13 +54,15 @@ IBAN = {15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|
 _ACCOUNT = "|".join(f"(?:{who})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, who in IBAN.items())
 _CARD_NEXT = "[ .-][0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])"
 # Formats looked for, in order of precedence.
+# Runs are possessive and start where no character of the run stands before, so
+# a text of any length is read once; groups that repeat are bounded.
 FORMATS = [
-    r'(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?"?[^\s"]{8,})',
-    r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    r'(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?"?[^\s"]{8,}+)',
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,127}[A-Za-z]{2,}+",
     rf"(?<![A-Za-z0-9])(?:{_ACCOUNT})(?![0-9A-Za-z])",
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])",
     r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-    r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,5}(?:(?!" + _CARD_NEXT + r")[ .-]?[0-9]{1,5}){1,5}(?![0-9])",
+    r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,5}(?:(?!" + _CARD_NEXT + r")[ .-]?[0-9]{1,5}+){1,5}(?![0-9])",
     r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -123,7 +130,10 @@ def _pseudonym(key: str) -> str:
     value = "substring(m, length(p) + 1)"
     secret = _let(r"regexp_extract(m, '^[^=:]*[=:]\\s?\"?', 0)", "p",
                   f"concat(p, substring(repeat({digest.format(value)}, length(m) div 64 + 1), 1, length({value})))")
-    email = f"concat('u', substring({digest.format('lower(m)')}, 1, 16), '@example.invalid')"
+    # punctuation before an address is no part of it
+    address = "lower(regexp_replace(m, '^[._%+-]+', ''))"
+    email = (f"concat(regexp_extract(m, '^[._%+-]*', 0), 'u', substring({digest.format(address)}, 1, 16), "
+             "'@example.invalid')")
 
     country, account = "substring(m, 1, 2)", "replace(substring(m, 5), ' ', '')"
     fresh = f"concat(replace(n, ' ', ''), {country}, '00')"
@@ -193,18 +203,40 @@ def _pseudonym(key: str) -> str:
         else {local} end"""
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The key that the session names, or (with a warning) one that is no secret."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are made with a key that anyone can read", stacklevel=2)
+    return key or DEMO_KEY
+
+
+def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced.  ``key`` is secret
     and the same wherever values are to stay linked.  ``count_col`` names a
-    new column with the number of matches (valid or not)."""
+    new column with the number of values replaced."""
+    if not key:
+        raise ValueError("a key is required")
     text = col(text_col)
     may = text.rlike("[0-9@=:]")
     quoted = "`" + text_col.replace("`", "``") + "`"
+    mark = _sql(MARK)
+    # one search marks the matches: every other piece between marks is one
+    marked = f"split(regexp_replace({quoted}, {_sql(PATTERN)}, {_sql(MARK + '$0' + MARK)}), {mark}, -1)"
+    # a text that holds the mark is split around the matches and searched again
+    between = f"split({quoted}, {_sql(PATTERN)}, -1)"
     found = f"regexp_extract_all({quoted}, {_sql(PATTERN)}, 0)"
+    apart = (f"transform(sequence(0, 2 * size({between}) - 2), i -> if(i % 2 = 0, get({between}, i div 2), "
+             f"get({found}, i div 2)))")
+    pieces = f"if(contains({quoted}, {mark}), {apart}, {marked})"
     digits = "regexp_replace(m, '[^0-9]', '')"
-    changed = f"transform({found}, m -> {_let(digits, 'd', _pseudonym(key))})"
-    joined = _let(changed, "x", f"array_join(transform(split({quoted}, {_sql(PATTERN)}, -1), "
-                                "(s, n) -> concat(s, coalesce(get(x, n), ''))), '')")
-    out = docs if count_col is None else docs.withColumn(
-        count_col, F.when(may, F.expr(f"size({found})")).otherwise(F.lit(0)))
-    return out.withColumn(text_col, F.when(may, F.expr(joined)).otherwise(text))
+    changed = (f"transform({pieces}, (m, i) -> if(i % 2 = 0, named_struct('s', m, 'n', 0), "
+               f"{_let(_let(digits, 'd', _pseudonym(key)), 'p', 'named_struct(' + _sql('s') + ', p, ' + _sql('n') + ', if(p <> m, 1, 0))')}))")
+    found_at = unused(docs, "pieces", count_col or "")
+    out = docs.withColumn(found_at, F.when(may, F.expr(changed)))
+    some = F.col(found_at).isNotNull()
+    out = out.withColumn(text_col, F.when(some, F.array_join(F.col(f"{found_at}.s"), "")).otherwise(text))
+    if count_col is not None:
+        n = F.aggregate(F.col(f"{found_at}.n"), F.lit(0), lambda a, b: a + b)
+        out = out.withColumn(count_col, F.when(some, n).otherwise(F.lit(0)))
+    return out.drop(found_at)

@@ -28,7 +28,7 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymised(docs, count_col="n_found").select("doc_id", "n_found", "text")
+    return pii.pseudonymised(docs, pii.key_of(spark), count_col="n_found").select("doc_id", "n_found", "text")
 
 
 @query

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from barrio.session import scratch_path
 
@@ -28,3 +32,23 @@ def col(name: str):
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under the operator's own names."""
     return df.select(*[col(source).alias(own) for own, source in names.items()])
+
+
+def unused(df: DataFrame, name: str, *others: str) -> str:
+    """``name``, with ``_`` added while ``df`` or ``others`` have it (in any case)."""
+    taken = {c.lower() for c in (*df.columns, *others)}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` with a function that keeps the columns, whatever their names
+    (Spark's own takes no dots): they travel under plain ones."""
+    names, plain = df.columns, [f"c{i}" for i in range(len(df.columns))]
+    schema = StructType([StructField(p, f.dataType, f.nullable) for p, f in zip(plain, df.schema.fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in fn(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain)
+    return df.toDF(*plain).mapInArrow(run, schema).toDF(*names)
