@@ -116,16 +116,22 @@ def param_grid(est, grid: dict[str, list]):
     return b.build()
 
 
-def classification_metrics(predictions: DataFrame, label: str = LABEL,
-                           prediction: str = "prediction") -> dict[str, float]:
+def confusion(predictions: DataFrame, label: str = LABEL, prediction: str = "prediction",
+              weight: str | None = None) -> DataFrame:
+    """(y, p, count): rows, or the sum of their weights, by true and predicted class."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return predictions.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(n.alias("count"))
+
+
+def classification_metrics(predictions: DataFrame, label: str = LABEL, prediction: str = "prediction",
+                           weight: str | None = None) -> dict[str, float]:
     """Accuracy and label-weighted precision, recall and F1.
 
     One aggregate job builds the confusion counts (classes^2 rows at most);
     the weighted averages use the true-label frequencies, as Spark's
     ``weightedPrecision``/``weightedRecall``/``f1`` do.
     """
-    cells = (predictions.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p"))
-             .count().collect())
+    cells = confusion(predictions, label, prediction, weight).collect()
     total = sum(r["count"] for r in cells)
     if total == 0:
         return {"accuracy": 0.0, "weightedPrecision": 0.0, "weightedRecall": 0.0, "f1": 0.0}

@@ -43,9 +43,9 @@ def leaderboard(spark: SparkSession, results: Sequence[TuneResult],
                 paths: dict[str, str] | None = None) -> DataFrame:
     """Long-format results of the tuned models."""
     rows = []
-    for r in results:
+    for i, r in enumerate(results):
         run_id = uuid.uuid4().hex
-        order = TRAIN_ORDER.index(r.family) if r.family in TRAIN_ORDER else len(TRAIN_ORDER)
+        order = TRAIN_ORDER.index(r.family) if r.family in TRAIN_ORDER else len(TRAIN_ORDER) + i
         for metric, key in METRICS:
             rows.append((run_id, DISPLAY_NAMES.get(r.family, r.family), metric, float(r.metrics[key]),
                          float(r.training_time), order, json.dumps(r.best_params, sort_keys=True),

@@ -24,6 +24,7 @@ from barrio.operators.label import DEFAULT_RELATIVE_ERROR, class_of, label_by_qu
 from barrio.operators.models import (LABEL, TRAIN_ORDER, TuneResult, feature_prep, stable_split,
                                      task_count, tune, with_folds)
 from barrio.operators.registry import save_model
+from barrio.operators.validation import RollingResult, rolling_search
 from barrio.plans import area_year as ay
 from barrio.plans.tables import table
 from barrio.session import scratch_path
@@ -57,11 +58,16 @@ class Prepared:
         self.validation.unpersist()
 
 
+CELL = ["neighborhood_name", "year"]
+
+
 def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_RELATIVE_ERROR,
-            fit_on_all_rows: bool = False) -> Prepared:
-    """Split by key hash, place class cuts and fit preparation on train only
-    (``fit_on_all_rows=True`` reproduces fitting cuts, index and scaler on
-    every row before the split, as the source code does).
+            fit_on_all_rows: bool = False, groups: list[str] | None = None) -> Prepared:
+    """Split by the hash of ``groups`` (of the row's ``keys``, if not given), place
+    class cuts and fit preparation on train only (``fit_on_all_rows=True``
+    reproduces fitting cuts, index and scaler on every row before the split, as
+    the source code does).  Where features and label are the same for all rows
+    of a group, only a split by group keeps what is scored out of training.
 
     The joined frame is checkpointed first: the sketch, the indexer and
     scaler fits and both transforms then read it instead of re-running the
@@ -69,7 +75,8 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
     """
     frame = frame.checkpoint(eager=True)
     rows = frame.count()
-    train_raw, val_raw = stable_split(frame, keys)
+    groups = groups or keys
+    train_raw, val_raw = stable_split(frame, groups)
     fit_rows = frame if fit_on_all_rows else train_raw
     _, cuts = label_by_quantiles(fit_rows, PRICE, relative_error=relative_error)
 
@@ -78,12 +85,12 @@ def prepare(frame: DataFrame, keys: list[str], relative_error: float = DEFAULT_R
 
     train_l, val_l = lab(train_raw), lab(val_raw)
     prep = feature_prep().fit(lab(fit_rows))
-    cols = [*keys, "features", LABEL]
+    cols = [*dict.fromkeys([*keys, *groups]), "features", LABEL]
     # Stored at the finest task size any family wants (AQE may have
     # coalesced a small result into one partition: every fit one task);
     # ``tuned`` coalesces, without a shuffle, for the coarser families.
     n = task_count(rows, "random_forest", _cap(frame.sparkSession))
-    train = (with_folds(prep.transform(train_l).select(*cols), keys)
+    train = (with_folds(prep.transform(train_l).select(*cols), groups)
              .repartition(n, *keys).checkpoint(eager=True).cache())
     val = prep.transform(val_l).select(*cols).repartition(n, *keys).checkpoint(eager=True).cache()
     return Prepared(train, val, prep, cuts, rows, n)
@@ -99,7 +106,7 @@ _MEMO: dict[tuple, object] = {}
 def prepared_orders(spark: SparkSession, d: str) -> Prepared:
     key = ("prepared", id(spark), d)
     if key not in _MEMO:
-        _MEMO[key] = prepare(order_frame(spark, d), ["o_orderkey"])
+        _MEMO[key] = prepare(order_frame(spark, d), ["o_orderkey"], groups=CELL)
     return _MEMO[key]
 
 
@@ -118,5 +125,21 @@ def tuned(spark: SparkSession, d: str, family: str) -> tuple[TuneResult, str]:
     return _MEMO[key]
 
 
+def prepared_sides(train: DataFrame, validation: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with class cuts and preparation fitted on the first."""
+    labelled, cuts = label_by_quantiles(train, PRICE)
+    prep = feature_prep().fit(labelled)
+    after = validation.filter(F.col(PRICE).isNotNull()).withColumn(LABEL, class_of(F.col(PRICE), cuts))
+    n = task_count(train.count(), "random_forest", _cap(train.sparkSession))
+    return (prep.transform(labelled).select("features", LABEL).repartition(n).checkpoint(eager=True),
+            prep.transform(after).select("features", LABEL))
+
+
+def rolling(spark: SparkSession, d: str, family: str) -> RollingResult:
+    """Rolling-origin search over the orders, each year scored by earlier ones."""
+    frame = order_frame(spark, d).checkpoint(eager=True)
+    return rolling_search(family, frame, "year", prepared_sides)
+
+
 def all_tuned(spark: SparkSession, d: str) -> list[tuple[TuneResult, str]]:
     return [tuned(spark, d, f) for f in TRAIN_ORDER]

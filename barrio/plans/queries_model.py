@@ -363,7 +363,7 @@ def champion_score(spark, d):
     """O2 + K6 + L2: the champion pipeline, reloaded, scores held-out orders."""
     board = _board(spark, d, list(TRAIN_ORDER))
     best = champion(board).first()
-    _, validation = stable_split(ml.order_frame(spark, d), ["o_orderkey"])
+    _, validation = stable_split(ml.order_frame(spark, d), ml.CELL)
     scored = score(best["path"], validation)
     return scored.select("o_orderkey", "neighborhood_name", "year",
                          F.col("prediction").alias("predicted_class"),

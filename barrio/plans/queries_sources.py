@@ -7,6 +7,7 @@ it back, so the oracle can compare the round trip with the source table.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +21,7 @@ from barrio.sources.files import read_drifting_csv, read_jsonl
 from barrio.sources.sinks import json_writer, land_csv_by_year, land_json, replace_snapshot
 from barrio.sources.upsert import upsert
 from barrio.sources.versioned import read_table
+from barrio.streaming import events, rewritten
 from barrio.streaming.incremental import incremental_load
 from barrio.streaming.stream import stream_upsert
 
@@ -195,3 +197,67 @@ def stream_upsert_query(spark, d):
     stream_upsert(**args)
     return read_table(spark, f"{root}/table").select(
         "user_id", "event_id", "ts", "event_type", "value", "props")
+
+
+EVENT_DELAY = "6 hours"
+
+
+@query("late_events", """
+  WITH e AS (SELECT event_id, user_id, ts, event_type, value, row_number() OVER (ORDER BY ts, event_id) AS n,
+                    count(*) OVER () AS total FROM events),
+  d AS (
+    SELECT *, CASE WHEN event_id % 7 = 0 THEN 3 WHEN event_id % 11 = 0 THEN 2 ELSE CAST(ceil(3.0 * n / total) AS INTEGER) END AS drop_no FROM e
+    UNION ALL SELECT *, 3 AS drop_no FROM e WHERE event_id % 5 = 0 AND event_id % 7 <> 0),
+  marks AS (SELECT drop_no, max(epoch_ms(ts)) AS top FROM d GROUP BY drop_no),
+  j AS (SELECT d.*, coalesce((SELECT max(top) FROM marks m WHERE m.drop_no < d.drop_no) - 6 * 3600 * 1000, 0) AS mark FROM d),
+  v AS (SELECT *, epoch_ms(ts) < mark AS late FROM j)
+  SELECT event_id, user_id, event_type, value,
+         CASE WHEN late THEN 'late' WHEN row_number() OVER (PARTITION BY event_id, late ORDER BY drop_no) = 1 THEN 'kept'
+              ELSE 'duplicate' END AS status
+  FROM v
+""")
+def late_events(spark, d):
+    """Events are delivered in three drops by time, some of them too late or
+    once more; a stream with a watermark keeps, sets aside or drops each."""
+    e = table(spark, d, "events").select(
+        "event_id", "user_id", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("ts"),
+        "event_type", "value")
+    # which third of the time order an event lies in
+    order = Window.orderBy("ts", "event_id")
+    third = F.ceil(3 * F.row_number().over(order) / F.count(F.lit(1)).over(Window.partitionBy())).cast("int")
+    first = e.withColumn("drop_no", F.when(F.col("event_id") % 7 == 0, 3).when(F.col("event_id") % 11 == 0, 2)
+                         .otherwise(third))
+    again = e.where((F.col("event_id") % 5 == 0) & (F.col("event_id") % 7 != 0)).withColumn("drop_no", F.lit(3))
+    rows = first.unionByName(again).checkpoint(eager=True)
+    root = scratch_path(spark, "late-events")
+    for n in (1, 2, 3):
+        json_writer(rows.where(F.col("drop_no") == n).drop("drop_no")).json(f"{root}/src/drop{n}")
+        events.judge_files(spark, f"{root}/src/*", e.schema, f"{root}/out", ["event_id"], "ts", EVENT_DELAY, f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out").select(
+        "event_id", "user_id", "event_type", "value", F.col(events.STATUS).alias("status"))
+
+
+@query("rewritten_files", f"""
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN year(o_orderdate) < 1998 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority, {YEAR_SQL} AS year
+  FROM orders
+""")
+def rewritten_files(spark, d):
+    """A stream upserts what has landed; files of the early years are then
+    rewritten in place and are upserted once more, the others are not."""
+    o, oy = _orders_with_year(spark, d)
+    root = scratch_path(spark, "rewritten")
+    schema = StructType(list(oy.schema.fields))
+    args = (spark, f"{root}/src", schema, f"{root}/table", ["o_orderkey"], f"{root}/ckpt")
+
+    def land(rows):
+        # the same folder for the same years: a snapshot replaces its files
+        json_writer(rows.withColumn("part", F.when(F.col("year") < 1998, "early").otherwise("late")))\
+            .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").json(f"{root}/src")
+
+    land(oy)
+    rewritten.stream_changed_files(*args, partition_col="year")
+    land(oy.where(F.col("year") < 1998).withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    rewritten.stream_changed_files(*args, partition_col="year")
+    return read_table(spark, f"{root}/table").select(*o.columns, "year")
