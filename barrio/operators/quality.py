@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -41,3 +41,13 @@ def split_checked(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def run_report(df: DataFrame, by: Sequence[str] = ("status", "reason")) -> DataFrame:
     """Q3: row counts per outcome (add ``_file`` to ``by`` for per-file)."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def observed_write(df: DataFrame, rules: dict[str, Column], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write ``df`` and count, in the same pass, its rows and those that meet
+    each rule.  The counts come back with the write itself (Spark's observed
+    metrics): nothing is scanned for them."""
+    seen = Observation()
+    counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in rules.items()]
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    return seen.get

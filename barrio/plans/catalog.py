@@ -42,4 +42,5 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 def load_all() -> None:
     """Import every module that registers queries."""
     from barrio.plans import (queries_core, queries_format, queries_model,  # noqa: F401
-                              queries_sources, queries_validation, queries_zones)
+                              queries_repair, queries_sources, queries_validation,
+                              queries_zones)
