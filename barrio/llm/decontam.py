@@ -10,15 +10,18 @@ diagonals (document place minus item place).
    low bits passes by almost all places of a document.
 2. Hits are counted by document, item and diagonal band.  Bands are 2(k + 1)
    diagonals wide and overlap by half, so any k + 1 neighbouring diagonals
-   lie inside one.  Bands that meet the bound are retained as regions.
-   A q-gram that an item holds several times counts for each of its places.
+   lie inside one.  Bands that meet the bound are retained as regions.  Hits are
+   counted a bounded number at a time; a q-gram that an item repeats counts for
+   a range of bands at once, so repetitive items cost no product of places.
 3. A region is verified by an alignment in a band of diagonals: the fewest
    edits of the item against any part of the region, at most k.
 
 Documents are searched whole, in the task that reads them, and nothing is
-shuffled: a row gets the list of its passages.  Items are sent to the tasks
-``ROUND_BYTES`` at a time; a larger benchmark takes several such passes, so a
-task's memory does not grow with it.
+shuffled: a row gets the list of its passages.  Items are searched for
+``ROUND_BYTES`` at a time: neither the driver nor a task holds more of them.  A
+larger benchmark takes several rounds, each written before the next, so the
+documents are written once for each further ``ROUND_BYTES`` of items.  An item
+is found as a whole: half of a long item is none.
 
 Null, empty and short texts hold nothing.  k is lowered until the bound
 is positive, and items under ``LEAST`` bytes get no edits; items shorter than a
@@ -29,6 +32,7 @@ ids.  Empty tables give empty results.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barrio.llm.tables import col, map_rows, picked, unused
+from barrio.llm.tables import col, kept, map_rows, picked, unused
 from barrio.llm.words import LOWER, chunks, powers
 
-Q = 12
-ERRORS = 0.07
+Q = 7
+ERRORS = 0.12
 LEAST = 24
+REPEATS = 4                 # places of a q-gram in one item that are counted one by one
+COUNTED = 1 << 20           # q-gram hits counted at a time
 ROUND_BYTES = 1 << 23       # of items searched for at a time
 _MAP_BITS = 22
 _SLICE = 1 << 20
@@ -103,6 +109,30 @@ def _banded(item: np.ndarray, region: np.ndarray, lead: int, k: int) -> tuple[in
     return int(row[d]), min(max(m + d - k, 0), len(region))
 
 
+class _Counts:
+    """Counts of keys, added up a part at a time."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        key, count = np.unique(keys, return_counts=True)
+        self.keys.append(key)
+        self.counts.append(count)
+        self.held += len(key)
+        if self.held > 4 * COUNTED:
+            self.keys, self.counts = ([x] for x in self.result())
+            self.held = len(self.keys[0])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.keys:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        key, which = np.unique(np.concatenate(self.keys), return_inverse=True)
+        return key, np.bincount(which, weights=np.concatenate(self.counts)).astype(np.int64)
+
+
 class Items:
     """Folded benchmark items and the table of their q-grams."""
 
@@ -133,10 +163,16 @@ class Items:
             self.bound = self.m + 1 - Q * (self.k + 1)
         self.short = [j for j in range(len(self.m)) if self.m[j] < Q]
         g = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        order = np.argsort(g, kind="stable")
-        self.grams = g[order]
-        self.owner = (np.concatenate(owner) if grams else np.empty(0, np.int64))[order]
-        self.place = (np.concatenate(place) if grams else np.empty(0, np.int64))[order]
+        owner = np.concatenate(owner) if grams else np.empty(0, np.int64)
+        place = np.concatenate(place) if grams else np.empty(0, np.int64)
+        order = np.lexsort((place, owner, g))
+        g, owner, self.place = g[order], owner[order], place[order]
+        # one entry for each q-gram of an item, and the places it has there
+        new = np.ones(len(g), dtype=bool)
+        new[1:] = (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])
+        self.at = np.flatnonzero(new)
+        self.n = np.diff(np.r_[self.at, len(g)])
+        self.grams, self.owner = g[self.at], owner[self.at]
         self.map = np.zeros(1 << _MAP_BITS, dtype=bool)
         self.map[(self.grams & np.uint64((1 << _MAP_BITS) - 1)).astype(np.int64)] = True
 
@@ -153,27 +189,58 @@ class Items:
     def regions(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows (document, item, band) that meet the q-gram bound."""
         at, h = self._hits(text)
-        low = np.searchsorted(self.grams, h, "left")
-        n = np.searchsorted(self.grams, h, "right") - low
-        at, low, n = at[n > 0], low[n > 0], n[n > 0]
-        entry = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))
-        at = np.repeat(at, n)
         doc = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[doc + 1]
-        entry, at, doc = entry[inside], at[inside], doc[inside]
-        item = self.owner[entry]
-        # diagonals from -m on; each lies in two bands
+        at, h, doc = at[inside], h[inside], doc[inside]
+        low = np.searchsorted(self.grams, h, "left")
+        n = np.searchsorted(self.grams, h, "right") - low
+        at, low, n, doc = at[n > 0], low[n > 0], n[n > 0], doc[n > 0]
+        # a band of an item has at most this number
+        self.wide = int(((len(text) + self.m) // (self.k + 1)).max(initial=0)) + 2
+        counted = _Counts()
+        total = np.cumsum(n)
+        i = 0
+        while i < len(at):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + COUNTED, "right")))
+            counted.add(self._bands(at[i:j], doc[i:j], low[i:j], n[i:j], offsets))
+            i = j
+        key, count = counted.result()
+        item = key // self.wide % len(self.m) if len(key) else key
+        key = key[count >= np.maximum(self.bound[item], 1)] if len(key) else key
+        return np.c_[key // self.wide // len(self.m), key // self.wide % len(self.m), key % self.wide] if len(key) else \
+            np.empty((0, 3), np.int64)
+
+    def _bands(self, at: np.ndarray, doc: np.ndarray, low: np.ndarray, n: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """A key (document, item, band) for each band that a hit counts for.
+
+        A q-gram counts once for every band that one of its places in the item
+        puts it in; of one that the item repeats more than ``REPEATS`` times,
+        for the bands from its first place to its last (too many at worst, which
+        the alignment settles).
+        """
+        first = np.cumsum(n) - n
+        entry = np.repeat(low - first, n) + np.arange(int(n.sum()))
+        at, doc = np.repeat(at, n), np.repeat(doc, n)
+        item, size = self.owner[entry], self.n[entry]
         step = self.k[item] + 1
-        band = (at - offsets[doc] - self.place[entry] + self.m[item]) // step
-        rows = np.concatenate([np.c_[doc, item, band], np.c_[doc, item, band - 1]])
-        rows = rows[rows[:, 2] >= 0]
-        if not len(rows):
-            return rows
-        wide = int(rows[:, 2].max()) + 1
-        key, count = np.unique((rows[:, 0] * len(self.m) + rows[:, 1]) * wide + rows[:, 2], return_counts=True)
-        item = key // wide % len(self.m)
-        key = key[count >= np.maximum(self.bound[item], 1)]
-        return np.c_[key // wide // len(self.m), key // wide % len(self.m), key % wide]
+        here = at - offsets[doc] + self.m[item]
+        base = (doc * len(self.m) + item) * self.wide
+        out = []
+        few = np.flatnonzero(size <= REPEATS)
+        for r in range(int(size[few].max(initial=0))):
+            some = few[size[few] > r]
+            band = (here[some] - self.place[self.at[entry[some]] + r]) // step[some]
+            # diagonals from -m on; each lies in two bands
+            key = np.r_[base[some] + band, (base[some] + band - 1)[band > 0]]
+            out.append(key)
+        many = np.flatnonzero(size > REPEATS)
+        if len(many):
+            start = self.at[entry[many]]
+            top = (here[many] - self.place[start]) // step[many]
+            bottom = np.maximum((here[many] - self.place[start + size[many] - 1]) // step[many] - 1, 0)
+            count = top - bottom + 1
+            out.append(np.repeat(base[many] + bottom - (np.cumsum(count) - count), count) + np.arange(int(count.sum())))
+        return np.concatenate(out)
 
     def _aligned(self, text: np.ndarray, low: int, high: int, item: int, band: int) -> tuple[int, int, int] | None:
         """(start, end, edits) of an item in the band's region of text[low:high]."""
@@ -214,11 +281,14 @@ class Items:
             if hit:
                 found.append((doc, item, *hit))
         out: list[tuple[int, int, int, int, int]] = []
-        by_item: dict[tuple[int, int], list] = {}
+        by_item: dict[tuple[int, int], tuple[list, list]] = {}
         for row in sorted(found, key=lambda r: (r[4], r[2], r[3])):
-            taken = by_item.setdefault(row[:2], [])
-            if not any(row[2] < end and start < row[3] for start, end in taken):
-                taken.append((row[2], row[3]))
+            # those taken lie apart, so only the one before and the one after can overlap
+            starts, ends = by_item.setdefault(row[:2], ([], []))
+            at = bisect_left(starts, row[3])
+            if at == 0 or ends[at - 1] <= row[2]:
+                starts.insert(at, row[2])
+                ends.insert(at, row[3])
                 out.append(row)
         return sorted(out)
 
@@ -265,8 +335,11 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     """
     name = unused(docs, name)
     out = docs.withColumn(name, F.expr("cast(array() as array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>)"))
+    done = 0
     for ids, texts in _rounds(picked(benchmark, item_id="item_id", text="text")):
-        out = map_rows(out, _search(ids, texts, text_col, name))
+        # one round's items alive at a time, in the driver as in the tasks
+        out = map_rows(kept(out, "bd-round") if done else out, _search(ids, texts, text_col, name))
+        done += 1
     return out
 
 

@@ -100,3 +100,53 @@ def test_batches_with_and_without_passages(spark):
         assert {r.doc_id for r in out.collect() if r.passages} == {1, 4, 7}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_repetitive_items_and_texts_take_linear_memory():
+    """No product of an item's places and a text's."""
+    import resource
+    import time
+
+    items = D.Items([1, 2, 3], ["a " * 500, "na " * 300 + "batman", "x" * 800])
+    start = time.process_time()
+    for unit, item in (("a ", 0), ("na ", None), ("x", 2)):
+        text, offsets, _ = D.folded(*text_buffer(pa.array([unit * (100_000 // len(unit))])))
+        found = items.verified(text, offsets)
+        assert {r[1] for r in found} >= ({item} if item is not None else set())
+        assert len({(r[1], r[2], r[3]) for r in found}) == len(found)
+    assert time.process_time() - start < 60
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 4 << 20        # KB
+
+
+def test_a_replaced_word_does_not_hide_a_short_item():
+    item = "Which of these rivers flows through the largest number of different countries today?"
+    items = D.Items([1], [item])
+    text, offsets, _ = D.folded(*text_buffer(pa.array(["Quiz: " + item.replace("largest", "greatest") + " Answer", "Quiz: rivers"])))
+    assert [(d, e) for d, _, _, _, e in items.verified(text, offsets)] == [(0, 5)]
+
+
+def test_counts_of_repeated_grams_miss_nothing():
+    """Items and texts over two letters, where every q-gram repeats."""
+    rng = random.Random(9)
+    short = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    items = D.Items(list(range(5)), [short(10) * 7, "ab" * 40, "aab" * 30, short(90), "a" * 70])
+    docs = []
+    for _ in range(60):
+        item = items.texts[rng.randrange(5)].tobytes().decode()
+        docs.append(short(rng.randint(0, 60)) + edited(rng, item, rng.randint(0, 10)) + short(rng.randint(0, 60)))
+    text, offsets, _ = D.folded(*text_buffer(pa.array(docs)))
+    got = {(r[0], r[1]) for r in items.verified(text, offsets)}
+    for i in range(len(docs)):
+        folded = text[offsets[i]:offsets[i + 1]].tobytes()
+        for j in range(5):
+            assert ((i, j) in got) == (fewest_edits(items.texts[j].tobytes(), folded) <= items.k[j]), (i, j)
+
+
+def test_rounds_one_after_another(spark, monkeypatch):
+    docs = spark.createDataFrame(odd_rows() + [(5000, "the first item of them all, and then the second item of the list", "s", "x")], SCHEMA)
+    items = spark.createDataFrame([(1, "the first item of them all"), (2, "the second item of the list"), (3, None), (4, "not there at all")],
+                                  "item_id long, text string")
+    whole = sorted(map(str, D.benchmark_passages(docs, items).collect()))
+    monkeypatch.setattr(D, "ROUND_BYTES", 20)
+    assert sorted(map(str, D.benchmark_passages(docs, items).collect())) == whole
+    assert sum("item_id=2" in r and "item_id=1" in r for r in whole) == 1
