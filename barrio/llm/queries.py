@@ -54,7 +54,7 @@ def op5_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     # the language of the hosts: words of the pages
     words = F.split(F.lower(F.regexp_replace("html", "<[^>]*>", " ")), "[^a-z]+")
-    vocabulary = (pages.select(F.explode(words).alias("word")).where("length(word) between 2 and 20")
+    vocabulary = (pages.select(F.explode(words).alias("word")).where(f"length(word) between 1 and {url_filter.LONGEST}")
                   .groupBy("word").agg(F.count("*").alias("n")))
     return url_filter.judged(pages, URL_RULES, vocabulary)
 

@@ -6,15 +6,15 @@ ones that with the longer host, then block).
 
 Other urls.  Host labels are cut at everything but letters, and each piece is
 segmented into words by a unigram Viterbi: the cut with the largest product
-of word probabilities, a substring outside the vocabulary having
-10 / (N * 10 ** length).  N is ``CORPUS`` words whatever the input: counts are
+of word probabilities, any substring having at least
+10 / (N * 10 ** length), also outside the vocabulary.  N is ``CORPUS`` words whatever the input: counts are
 scaled to it, and the seed words and their inflected forms have at least the
 share ``SEED_SHARE``, so cuts do not change with the size of a table.  A seed
 of four letters and more is a word beside an unknown one, a shorter one only
 beside known words.  Substrings meet the vocabulary in a join (distinct
 pieces only), so the vocabulary is neither capped nor sent to tasks; a piece's
-known substrings, at most ``LONGEST`` for each letter, are then cut in a small
-per-row function.  A multinomial naive Bayes model scores host words and path
+known substrings are then cut in a small per-row function.  Words have 1 to 63
+letters, as a host's labels have.  A multinomial naive Bayes model scores host words and path
 tokens (numbers are one token).  It is trained here on all urls: block
 examples are those whose host words hold a seed word or a form of it, allow examples all
 others; token counts are map-side combined sums and the model is joined with
@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 
 from barrio.llm.tables import kept, picked
 
-LONGEST = 20
+LONGEST = 63                 # no label of a host is longer, so no word is
+SPAN = 512                   # letters of a piece whose substrings are made at a time
 CORPUS, SEED_SHARE = 1_000_000, 2e-4
 # Words whose presence in a host marks a block example.
 SEEDS = ("adult", "bet", "casino", "cheap", "escort", "gambling", "hack", "malware", "phishing", "pills", "poker",
@@ -91,25 +92,41 @@ def _rules_of(hosts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return parents.join(table, "rule_host").groupBy("host").agg(F.array_sort(F.collect_list(best)).alias("rules"))
 
 
+def _best_cut(piece: str, known: list[tuple[int, int, float]], total: float) -> list[str]:
+    """The cut of a piece into words with the largest product of probabilities.
+
+    ``known``: (place, length, count) of its known substrings.  What is unknown
+    costs by its length alone, so the best unknown word that ends at a place
+    begins where a running maximum says: linear in letters and known substrings.
+    """
+    n = len(piece)
+    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    for at, length, count in known:
+        ends[at + length].append((at, math.log(count / total)))
+    unknown, letter = math.log(10 / total), math.log(10)
+    best, back = [0.0] * (n + 1), [0] * (n + 1)
+    high, high_at = 0.0, 0                       # the largest best[at] + at * letter
+    for end in range(1, n + 1):
+        p, start = high + unknown - end * letter, high_at
+        for at, log_p in ends[end]:
+            if best[at] + log_p >= p:
+                p, start = best[at] + log_p, at
+        best[end], back[end] = p, start
+        if p + end * letter > high:
+            high, high_at = p + end * letter, end
+    cut, end = [], n
+    while end:
+        cut.append(piece[back[end]:end])
+        end = back[end]
+    return cut[::-1]
+
+
 def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Viterbi over each piece's known substrings."""
     for batch in batches:
         pieces, words = batch.column("piece").to_pylist(), []
         for piece, known, total in zip(pieces, batch.column("known").to_pylist(), batch.column("total").to_pylist()):
-            n = len(piece)
-            log_p = {(k["at"], k["length"]): math.log(k["n"] / total) for k in known or ()}
-            best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
-            for end in range(1, n + 1):
-                for length in range(1, min(LONGEST, end) + 1):
-                    at = end - length
-                    p = best[at] + log_p.get((at, length), math.log(10 / max(total, 1)) - length * math.log(10))
-                    if p > best[end]:
-                        best[end], back[end] = p, at
-            cut, end = [], n
-            while end:
-                cut.append(piece[back[end]:end])
-                end = back[end]
-            words.append(cut[::-1])
+            words.append(_best_cut(piece, [(k["at"], k["length"], k["n"]) for k in known or ()], max(total, 1)))
         yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(words, pa.list_(pa.string()))],
                                          names=["piece", "words"])
 
@@ -119,9 +136,14 @@ def host_words(hosts: DataFrame, vocabulary: DataFrame, seeds: tuple[str, ...] =
     words at least as common as ``SEED_SHARE``."""
     pieces = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("place", "piece")).where("piece <> ''")
     distinct = kept(pieces.select("piece").distinct(), "url-pieces")
-    parts = distinct.select("piece", F.explode(F.expr(f"""flatten(transform(sequence(0, length(piece) - 1), at ->
-        transform(sequence(1, least({LONGEST}, length(piece) - at)), length ->
-            named_struct('at', at, 'length', length, 'word', substring(piece, at + 1, length)))))""")).alias("s"))
+    # a row for each SPAN letters of a piece: a long one is no long row
+    spans = distinct.select("piece", F.explode(F.expr(f"sequence(0, (length(piece) - 1) div {SPAN})")).alias("span"))
+    spans = spans.select("piece", (F.col("span") * SPAN).alias("first"), F.expr(
+        f"substring(piece, cast(span * {SPAN} + 1 AS int), {SPAN} + {LONGEST} - 1)").alias("letters"),
+        F.expr(f"least({SPAN}, length(piece) - span * {SPAN})").alias("starts"))
+    parts = spans.select("piece", F.explode(F.expr(f"""flatten(transform(sequence(0, cast(starts - 1 AS int)), i ->
+        transform(sequence(1, least({LONGEST}, length(letters) - i)), n ->
+            named_struct('at', cast(first AS int) + i, 'length', n, 'word', substring(letters, i + 1, n)))))""")).alias("s"))
     vocabulary = kept(vocabulary.groupBy("word").agg(F.sum("n").alias("n")), "url-vocabulary")
     total = vocabulary.agg(F.sum("n")).first()[0] or 1
     scaled = F.col("n") * (CORPUS / float(total))

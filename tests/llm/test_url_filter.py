@@ -1,5 +1,7 @@
 import itertools
 import math
+import random
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -59,6 +61,34 @@ def test_segmentation_is_the_best_cut():
         assert "".join(words) == piece and abs(sum(map(p, words)) - best) < 1e-9
 
 
+def test_cuts_equal_plain_viterbi():
+    rng = random.Random(3)
+    for _ in range(300):
+        piece = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 40)))
+        counts = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))): rng.randrange(1, 5000) for _ in range(12)}
+        p = lambda w: max(math.log(counts.get(w, 1e-99) / 1e6), math.log(10 / 1e6) - len(w) * math.log(10))
+        best = [0.0]
+        for end in range(1, len(piece) + 1):
+            best.append(max(best[at] + p(piece[at:end]) for at in range(end)))
+        known = [(a, n, counts[piece[a:a + n]]) for a in range(len(piece)) for n in range(1, len(piece) - a + 1)
+                 if piece[a:a + n] in counts]
+        words = U._best_cut(piece, known, 1e6)
+        assert "".join(words) == piece and abs(sum(map(p, words)) - best[-1]) < 1e-6
+
+
+def test_long_hosts_and_long_words(spark):
+    """A host of 40,000 letters takes seconds; words of 40 letters are words."""
+    word = "supercalifragilisticexpialidociousnesses"
+    pages = spark.createDataFrame([(1, "http://" + "goodnewsfarm" * 3400 + ".com/a"), (2, f"http://the{word}news.com/"),
+                                   (3, "http://" + "z" * 40000 + "/")], "page_id long, url string")
+    vocabulary = spark.createDataFrame([*VOCABULARY, (word, 3), ("the", 900)], "word string, n long")
+    start = time.time()
+    got = {r.page_id: r.words for r in U.judged(pages, [], vocabulary).collect()}
+    assert time.time() - start < 60
+    assert got[1] == ["good", "news", "farm"] * 3400 + ["com"] and got[2] == ["the", word, "news", "com"]
+    assert got[3] == ["z" * 40000]
+
+
 def test_bayes_scores(spark):
     pages = spark.createDataFrame([(1, "http://spam.x/a"), (2, "http://spam.x/b"), (3, "http://ok.x/a"),
                                    (4, "http://ok.x/a"), (5, "http://new.x/b")], "page_id long, url string")
