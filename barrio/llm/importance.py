@@ -6,7 +6,8 @@ each n-gram at most once, and counts are of documents.  The n-grams are words
 (A-Z lowered, without punctuation), the first ``HEAD`` bytes of words, word
 shapes (runs of upper case, other letters, digits and each punctuation mark;
 a word that repeats its predecessor has a shape of its own), and pairs of
-neighbouring shapes, hashed to ``2 ** BITS`` buckets.
+neighbouring shapes, hashed to buckets whose number grows with the bytes of all
+texts (``bits_for``).
 
 An n-gram's weight is its log ratio ``log((t + PRIOR) / (e + PRIOR))``, drawn
 towards 0 by ``SHRINK`` standard errors; t documents of target text have it, and
@@ -32,7 +33,7 @@ in one task) or, with labels, the number of documents at or over the perturbed
 score that best parts good from other labelled documents while ``KEEP_GOOD``
 of the good ones stay.
 
-Only buckets with a weight pass the driver, at most 2 ** BITS, and counts of
+Only buckets with a weight pass the driver, and counts of
 labelled documents by length and by score, at most ``LABELLED``.  Null and empty
 texts have no n-grams and score 0.  A null id gets the Gumbel variable of an
 empty id; rows that repeat an id share it, and rows with equal perturbed
@@ -54,7 +55,8 @@ from pyspark.sql import functions as F
 from barrio.llm.tables import col, kept, map_rows, unused
 from barrio.llm.words import LOWER, Words, chunks, join2, mix, powers, range_hashes
 
-BITS, HEAD = 20, 4
+LEAST_BITS, MOST_BITS, HEAD = 20, 28, 4
+DENSE_BITS = 22                 # up to here an array has a place for every bucket
 PRIOR, SHRINK = 1.0, 1.5
 LABELLED = 200_000
 KEEP_GOOD = 0.99
@@ -68,7 +70,12 @@ _CLASS[0x61:0x7B] = _LETTER
 _CLASS[0x80:] = _LETTER
 _CLASS_HASH = mix(np.arange(256, dtype=np.uint64) + np.uint64(77))
 _RANK = powers(np.uint64(0x9E3779B97F4A7C15), 16)
-_LOW = np.uint64((1 << BITS) - 1)
+
+
+def bits_for(size: int) -> int:
+    """Bits of a bucket for so many bytes of text: 20 for up to a GB, and one more
+    for each fourfold, as distinct n-grams grow about with the root of the text."""
+    return min(MOST_BITS, LEAST_BITS + max(0, math.ceil(math.log(max(size, 1) / (1 << 30), 4))))
 
 
 def _sorted_distinct(x: np.ndarray) -> np.ndarray:
@@ -92,9 +99,9 @@ def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return np.add.reduceat(_CLASS_HASH[cls[run]] * _RANK[rank], at)
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(data: np.ndarray, offsets: np.ndarray, bits: int = LEAST_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each document's distinct n-grams, and the documents."""
-    words = Words(data, offsets)
+    words, low = Words(data, offsets), np.uint64((1 << bits) - 1)
     if not len(words.hash):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     # n-grams of each distinct word
@@ -112,11 +119,11 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     word, head = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
     word[some] = range_hashes(data, s, e, LOWER)
     head[some] = range_hashes(data, s, np.minimum(e, s + HEAD), LOWER)
-    kinds = [(mix(x + np.uint64(k)) & _LOW).astype(np.int64) for k, x in enumerate((word, head, shape))]
+    kinds = [(mix(x + np.uint64(k)) & low).astype(np.int64) for k, x in enumerate((word, head, shape))]
     owner = words.owner
     pair = _sorted_distinct(owner * len(at) + which)
     doc, which_one = pair // len(at), pair % len(at)
-    keys = [(doc << BITS) | kind[which_one] for kind in kinds]
+    keys = [(doc << bits) | kind[which_one] for kind in kinds]
     # pairs of neighbouring shapes
     names, small = np.unique(shape, return_inverse=True)
     small = small[which]
@@ -126,26 +133,40 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     wide = len(names)
     both = _sorted_distinct((owner[1:][ok] * wide + small[:-1][ok]) * wide + small[1:][ok])
     pairs = join2(names[both // wide % wide], names[both % wide])
-    keys.append(((both // (wide * wide)) << BITS) | (mix(pairs + np.uint64(3)) & _LOW).astype(np.int64))
+    keys.append(((both // (wide * wide)) << bits) | (mix(pairs + np.uint64(3)) & low).astype(np.int64))
     key = _sorted_distinct(np.concatenate(keys))
-    return key & ((1 << BITS) - 1), key >> BITS
+    return key & ((1 << bits) - 1), key >> bits
 
 
 def _good(label: pa.Array) -> np.ndarray:
     return label.fill_null(0).to_numpy() == 1
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(bits: int):
     """Raw and target documents with each n-gram, of one task."""
-    raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-    for batch, data, offsets in chunks(batches, "text"):
-        bucket, owner = ngrams(data, offsets)
-        raw += np.bincount(bucket, minlength=1 << BITS)
-        good = _good(batch.column("label"))
-        target += np.bincount(bucket[good[owner]], minlength=1 << BITS)
-    some = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(raw[some]), pa.array(target[some])],
-                                     names=["bucket", "raw", "target"])
+    def rows(buckets: np.ndarray, raw: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.array(raw), pa.array(target)],
+                                          names=["bucket", "raw", "target"])
+
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        for batch, data, offsets in chunks(batches, "text"):
+            bucket, owner = ngrams(data, offsets, bits)
+            raw += np.bincount(bucket, minlength=1 << bits)
+            good = _good(batch.column("label"))
+            target += np.bincount(bucket[good[owner]], minlength=1 << bits)
+        some = np.flatnonzero(raw)
+        yield rows(some, raw[some], target[some])
+
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # sums of each part of the texts; Spark adds them up before it shuffles
+        for batch, data, offsets in chunks(batches, "text"):
+            bucket, owner = ngrams(data, offsets, bits)
+            good = _good(batch.column("label"))
+            some, which = np.unique(bucket, return_inverse=True)
+            yield rows(some, np.bincount(which, minlength=len(some)).astype(np.int64),
+                       np.bincount(which, weights=good[owner], minlength=len(some)).astype(np.int64))
+    return dense if bits <= DENSE_BITS else sparse
 
 
 def _weight(target, expected):
@@ -155,19 +176,33 @@ def _weight(target, expected):
     return np.sign(ratio) * np.maximum(np.abs(ratio) - error, 0)
 
 
-def _scores(names: dict[str, str], bucket: np.ndarray, raw: np.ndarray, target: np.ndarray, share: float,
+def _lookup(bits: int, bucket: np.ndarray, values: np.ndarray):
+    """Values by bucket, 0 where there is none."""
+    if bits <= DENSE_BITS:
+        table = np.zeros(1 << bits)
+        table[bucket] = values
+        return lambda wanted: table[wanted]
+    order = np.argsort(bucket)
+    known, values = np.append(bucket[order], -1), np.append(values[order], 0.0)
+
+    def found(wanted: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(known[:-1], wanted)
+        return np.where(known[at] == wanted, values[at], 0.0)
+    return found
+
+
+def _scores(names: dict[str, str], bits: int, bucket: np.ndarray, raw: np.ndarray, target: np.ndarray, share: float,
             level: float):
     """Rows with the number and the summed weights of their n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = np.full(1 << BITS, 0.0)
-        weight[bucket] = _weight(target, raw * share)
-        less = np.full(1 << BITS, 0.0)
-        less[bucket] = _weight(np.maximum(target - 1, 0), np.maximum(raw - 1, 0) * share)
+        weight = _lookup(bits, bucket, _weight(target, raw * share))
+        less = _lookup(bits, bucket, _weight(np.maximum(target - 1, 0), np.maximum(raw - 1, 0) * share))
         for batch, data, offsets in chunks(batches, names["text"]):
-            grams, owner = ngrams(data, offsets)
-            good = _good(batch.column(names["label"]))
-            value = np.where(good[owner], less[grams], weight[grams]) - level
-            score = np.bincount(owner, weights=value, minlength=batch.num_rows).astype(np.float64)
+            grams, owner = ngrams(data, offsets, bits)
+            good = _good(batch.column(names["label"]))[owner]
+            value = np.empty(len(grams))
+            value[good], value[~good] = less(grams[good]), weight(grams[~good])
+            score = np.bincount(owner, weights=value - level, minlength=batch.num_rows).astype(np.float64)
             count = np.bincount(owner, minlength=batch.num_rows).astype(np.int64)
             for name, values in ((names["score"], score), (names["grams"], count)):
                 batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(values))
@@ -262,12 +297,14 @@ def _kth(perturbed: DataFrame, k: int) -> float:
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 11,
-                        id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str, str]:
+                        id_col: str = "doc_id", text_col: str = "text", bits: int | None = None
+                        ) -> tuple[DataFrame, str, str]:
     """All rows and columns of ``docs`` with a score and whether it is chosen;
     and the names of those two columns (``score`` and ``chosen``, with ``_``
     added while the input has them).
 
     ``labels``: doc_id, quality, toxic.  ``k``: how many documents to choose.
+    ``bits``: of a bucket's number, if not as many as the texts ask for.
     """
     names = {"text": text_col}
     for own in ("label", "score", "chosen", "known_id", "grams"):
@@ -286,7 +323,9 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     rows = rows.withColumn(names["score"], F.lit(0.0)).withColumn(names["grams"], F.lit(0).cast("long"))
 
     texts = rows.select(col(text_col).alias("text"), col(names["label"]).alias("label"))
-    counts = kept(texts.mapInArrow(_counts, "bucket int, raw long, target long").groupBy("bucket")
+    if bits is None:
+        bits = bits_for(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    counts = kept(texts.mapInArrow(_counts(bits), "bucket int, raw long, target long").groupBy("bucket")
                   .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "iw-counts")
     all_raw, all_target = counts.agg(F.sum("raw"), F.sum("target")).first()
     share = (all_target or 0) / (all_raw or 1)
@@ -296,7 +335,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
     model = counts.where(F.lit(share > 0) & sure).toPandas()
     raw, target = (model[c].to_numpy(np.float64) for c in ("raw", "target"))
     level = float((target * _weight(target, raw * share)).sum() / max(all_target or 0, 1))
-    score = _scores(names, model["bucket"].to_numpy(np.int64), raw, target, share, level)
+    score = _scores(names, bits, model["bucket"].to_numpy(np.int64), raw, target, share, level)
 
     judged = kept(map_rows(rows.where(col(names["label"]).isNotNull()), score).select(
         col(id_col).alias("id"), col(names["label"]).alias("label"), col(names["score"]).alias("score"),

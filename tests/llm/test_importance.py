@@ -110,3 +110,23 @@ def test_cut_below_any_fixed_range(spark):
     scored = spark.createDataFrame([(1, -900.0 - i) for i in range(50)] + [(0, -2000.0 - i) for i in range(50)],
                                    "label int, perturbed double")
     assert -1951 < I._best_cut(scored) <= -949
+
+
+def test_more_buckets_for_more_text():
+    gb = 1 << 30
+    assert [I.bits_for(n) for n in (0, gb, gb + 1, 4 * gb, 16 * gb, 10 ** 9 * gb)] == [20, 20, 21, 21, 22, 28]
+
+
+def test_scores_do_not_depend_on_how_counts_are_held(spark, monkeypatch):
+    """Sparse counts and a searched model give what arrays give."""
+    docs = spark.createDataFrame(odd_rows(), SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+
+    monkeypatch.setattr(I, "SHRINK", 0.0)             # so that few labels give weights
+
+    def scores():
+        out, score, _ = I.importance_resample(docs, labels, bits=20)
+        return sorted((str(r.doc_id), r.text or "", round(r[score], 6)) for r in out.collect())
+    dense = scores()
+    monkeypatch.setattr(I, "DENSE_BITS", 10)
+    assert scores() == dense and any(x[2] for x in dense)
