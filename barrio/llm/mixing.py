@@ -19,8 +19,8 @@ the leading bits where a source's rest is reached are kept, and ten more bits
 are looked at until few documents share them.  Only those are ordered.
 
 A null text has size 0; such documents and those without words are taken 0
-times.  A null id hashes as its own value.  Rows that repeat an id have equal
-u and are ordered by size.  An empty table gives an empty result.
+times.  A row without an id hashes its text, so such rows are spread as others
+are.  Rows that repeat an id have equal u and are ordered by size.  An empty table gives an empty result.
 DataFrame functions only.
 """
 
@@ -59,8 +59,8 @@ def source_targets(sizes: DataFrame, share: float, cap: float, weights: tuple[in
 
 
 def _uniform(seed: int) -> Column:
-    """A number inside (0, 1) from the document's id."""
-    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f"|mix|{seed}"))
+    """A number inside (0, 1) from the document's id, of one without from its text."""
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.col("digest")), F.lit(f"|mix|{seed}"))
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(1 << BITS)
 
 
@@ -75,7 +75,8 @@ def mix(docs: DataFrame, share: float = 1.5, cap: int = 2, weights: tuple[int, .
     sizes = docs.select(
         col(id_col).alias("doc_id"), col(source_col).alias("source"),
         F.coalesce(F.regexp_count(col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight"))
+        (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight"),
+        F.when(col(id_col).isNull(), F.md5(F.coalesce(col(text_col), F.lit("")))).alias("digest"))
     sizes = kept(sizes.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "mix-sizes")
     targets = kept(source_targets(sizes, share, cap, weights), "mix-targets")
     rows = sizes.join(targets, "key")
@@ -141,7 +142,7 @@ def oracle(share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = WEIGHTS,
     """The same mix (without document weights) in DuckDB SQL over ``documents``."""
     return f"""
 WITH sizes AS (
-  SELECT doc_id, coalesce('s' || source, 'n') AS key, source,
+  SELECT doc_id, coalesce('s' || source, 'n') AS key, source, md5(coalesce(text, '')) AS digest,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
 per AS (SELECT key, min(source) AS source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY key),
 ranked AS (
@@ -164,7 +165,7 @@ shares AS (
       SELECT *, coalesce(target / nullif(source_size, 0), 0.0::DOUBLE) AS e FROM sizes JOIN targets USING (key)))),
 odds AS (
   SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM (
-    SELECT *, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|mix|{seed}'), 1, 13))::BIGINT::DOUBLE
+    SELECT *, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, digest) || '|mix|{seed}'), 1, 13))::BIGINT::DOUBLE
                + 0.5::DOUBLE) / {1 << BITS}::DOUBLE AS u FROM shares)),
 ordered AS (
   SELECT *, target - sum(whole * size) OVER (PARTITION BY key) AS rest,

@@ -176,6 +176,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
             .where("vec_id IS NOT NULL AND size(vector) > 0 AND exists(vector, v -> v <> 0) "
                    "AND forall(vector, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('infinity'))")
             .withColumn("vec_id", F.col("vec_id").cast("long")).withColumn("query", F.coalesce(is_query, F.lit(False))))
+    # an id on several rows has its first vector, found before rows are dealt
+    again = kept(rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id"), "nn-repeated")
+    if not again.isEmpty():
+        one = rows.join(again, "vec_id", "left_semi").groupBy("vec_id", "query").agg(F.min("vector").alias("vector"))
+        rows = rows.join(again, "vec_id", "left_anti").unionByName(one)
     n, q = rows.agg(F.sum(F.size("vector")), F.sum(F.when(F.col("query"), F.size("vector")))).first()
     across, down = max(1, math.ceil((n or 0) / CANDIDATE_BLOCK)), max(1, math.ceil((q or 0) / QUERY_BLOCK))
     block = lambda n, salt: F.expr(f"cast(pmod(xxhash64(vec_id, {salt}), {n}) as int)")
