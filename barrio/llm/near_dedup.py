@@ -12,9 +12,11 @@
    confirmed on their full shingle sets.
 4. First every band bucket's members are compared with its smallest id.  The
    links contract to components (repeated ``min`` over edges).  Then only
-   buckets that still hold several components are compared in full, across
-   components only, in tiles of bounded size; a tile confirms its most alike
-   candidates first and passes by those that its links have joined meanwhile.
+   buckets that still hold several components are compared: the rows outside
+   the bucket's largest component (strays) with all others of the bucket,
+   across components only, in tiles of bounded size; a tile confirms its most
+   alike candidates first and passes by those that its links have joined
+   meanwhile.
    Pairs inside a component change nothing, so no link between components is
    lost, and no step makes a row for each pair of a bucket.
 
@@ -262,31 +264,32 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]
 
 
 def _candidates(t: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, ...]:
-    """Rows i, j of a tile in different components that look similar, and their
-    agreeing slots.  A pair is given in the first band both share, so once.
-    One of two such rows is a stray, a row outside the bucket's first component.
+    """Rows i (strays) and j (members) of a tile in different components that look
+    similar, and their agreeing slots.  A pair is given in the first band both
+    share, so once.  A stray is a row outside the bucket's home component.
     """
     need, out = _slots_needed(percent), []
-    stray = t["root"] != t["home"]
     key = t["key"][:1].view(np.uint64)[0]
-    for r in np.flatnonzero(stray):
-        ok = t["root"] != t["root"][r]
-        ok[:r] &= ~stray[:r]
-        size, sizes = t["n_shingles"][r], t["n_shingles"]
+    strays, members = np.flatnonzero(t["side"]), np.flatnonzero(t["side"] == 0)
+    roots, ids, sizes = t["root"][members], t["doc_id"][members], t["n_shingles"][members]
+    bits, bands = t["bits"][members], t["bands"][members]
+    member_strays = roots != t["home"][members]
+    for r in strays:
+        size = t["n_shingles"][r]
+        # two strays meet twice: each is a member too
+        ok = (roots != t["root"][r]) & ~(member_strays & (ids < t["doc_id"][r]))
         ok &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
-        if t["x"][0] != t["y"][0]:
-            ok &= t["block"] != t["block"][r]
         ok = np.flatnonzero(ok)
         if len(ok):
-            agree = _agreeing(t["bits"][ok], t["bits"][r])
+            agree = _agreeing(bits[ok], t["bits"][r])
             ok, agree = ok[agree >= need], agree[agree >= need]
         if len(ok):
-            first = t["bands"][r][(t["bands"][ok] == t["bands"][r]).argmax(axis=1)] == key
-            out.append((np.full(first.sum(), r), ok[first], agree[first]))
+            first = t["bands"][r][(bands[ok] == t["bands"][r]).argmax(axis=1)] == key
+            out.append((np.full(first.sum(), r), members[ok[first]], agree[first]))
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
 
 
-OPEN = ["key", "x", "y", "block", "home", "doc_id", "root"]
+OPEN = ["key", "x", "y", "side", "home", "doc_id", "root"]
 
 
 def _open_rows(percent: int):
@@ -330,13 +333,20 @@ def _confirmed_links(percent: int):
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
-    """Rows of (key, n, ...) with tiles (x, y): a bucket of over BLOCK rows is
-    cut into blocks by a hash of the id, and each pair of blocks is a tile."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.withColumn("block", F.expr("pmod(xxhash64(doc_id, 7), blocks)").cast("int"))
-    return (rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
-            .drop("other", "blocks"))
+    """Rows of (key, n, strays, ...) with tiles (x, y): a bucket's members are cut
+    into blocks x of about BLOCK rows by a hash of the id, its strays into blocks
+    y, and each pair of blocks is a tile.  Members of the home component meet the
+    strays only, so a bucket of n rows and s strays makes n * s / BLOCK copies."""
+    def block(count: str, salt: int) -> str:
+        return f"cast(pmod(xxhash64(doc_id, {salt}), ceil({count} / {BLOCK})) as int)"
+
+    def every(count: str):
+        return F.explode(F.expr(f"sequence(0, cast(ceil({count} / {BLOCK}) as int) - 1)"))
+
+    members = rows.withColumn("side", F.lit(0)).withColumn("x", F.expr(block("n", 7))).withColumn("y", every("strays"))
+    strays = (rows.where("root <> home").withColumn("side", F.lit(1)).withColumn("y", F.expr(block("strays", 8)))
+              .withColumn("x", every("n")))
+    return members.unionByName(strays)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
@@ -371,9 +381,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     roots = components(links, "nd-first")
     rooted = kept(members.join(roots, "doc_id", "left")
                   .select("key", "doc_id", F.coalesce("root", "doc_id").alias("root")), "nd-rooted")
-    mixed = kept(rooted.groupBy("key").agg(F.min("root").alias("home"), F.max("root").alias("top"),
-                                           F.count("*").alias("n")).where("home < top"), "nd-mixed")
-    open_ = (rooted.join(mixed.select("key", "home", "n"), "key")
+    # home is the component with most rows of the bucket
+    held = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mixed = kept(held.groupBy("key").agg(
+        F.max(F.struct("n", (-F.col("root")).alias("r"))).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots"))
+        .where("roots > 1").select("key", (-F.col("most.r")).alias("home"), "n", (F.col("n") - F.col("most.n")).alias("strays")),
+        "nd-mixed")
+    open_ = (rooted.join(mixed, "key")
              .join(reps.select("doc_id", "n_shingles", "bits", "bands"), "doc_id"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -381,7 +395,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         return rows.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id")
 
     near = kept(by_tile(_tiled(open_).select(*OPEN, "n_shingles", "bits", "bands")).mapInArrow(
-        _open_rows(percent), "key long, x int, y int, block int, home long, doc_id long, root long"), "nd-open")
+        _open_rows(percent), "key long, x int, y int, side int, home long, doc_id long, root long"), "nd-open")
     sets = _sets_of(texts, near.select("doc_id"), "nd-open-sets")
     rest = kept(by_tile(near.join(reps.select("doc_id", "n_shingles", "bits", "bands"), "doc_id")
                         .join(sets, "doc_id"))
