@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from barrio.llm.tables import col, kept, map_rows, picked, unused
 from barrio.llm.words import LOWER, chunks, powers
 
-Q = 8
-ERRORS = 0.10
+Q = 9
+ERRORS = 0.09
 LEAST = 24
 REPEATS = 4                 # places of a q-gram in one item that are counted one by one
 COUNTED = 1 << 20           # q-gram hits counted at a time
