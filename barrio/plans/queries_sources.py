@@ -7,12 +7,12 @@ it back, so the oracle can compare the round trip with the source table.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barrio.operators.normalize import INCIDENT_TYPES, union_flexible
 from barrio.operators.quality import read_json_checked, run_report
+from barrio.operators.ranks import numbered
 from barrio.plans.area_year import VICTIM_UNIT
 from barrio.plans.catalog import query
 from barrio.plans.tables import table
@@ -223,12 +223,11 @@ def late_events(spark, d):
         "event_id", "user_id", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("ts"),
         "event_type", "value")
     # which third of the time order an event lies in
-    order = Window.orderBy("ts", "event_id")
-    third = F.ceil(3 * F.row_number().over(order) / F.count(F.lit(1)).over(Window.partitionBy())).cast("int")
-    first = e.withColumn("drop_no", F.when(F.col("event_id") % 7 == 0, 3).when(F.col("event_id") % 11 == 0, 2)
-                         .otherwise(third))
+    third = F.ceil(3 * F.col("n") / F.col("total")).cast("int")
+    first = numbered(e, ["ts", "event_id"]).withColumn(
+        "drop_no", F.when(F.col("event_id") % 7 == 0, 3).when(F.col("event_id") % 11 == 0, 2).otherwise(third)).drop("n", "total")
     again = e.where((F.col("event_id") % 5 == 0) & (F.col("event_id") % 7 != 0)).withColumn("drop_no", F.lit(3))
-    rows = first.unionByName(again).checkpoint(eager=True)
+    rows = first.unionByName(again)
     root = scratch_path(spark, "late-events")
     for n in (1, 2, 3):
         json_writer(rows.where(F.col("drop_no") == n).drop("drop_no")).json(f"{root}/src/drop{n}")
