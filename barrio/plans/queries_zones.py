@@ -109,14 +109,18 @@ def unified_incremental(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
     supplier = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     lines = table(spark, d, "lineitem")
-    # an order may hold a line number several times
+    # an order may hold a line number several times; lines equal in what follows are alike
     nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_shipdate", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity"))
+        "year", "l_suppkey", "price_per_meter"))
     lines = lines.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", nth).alias("price_id"), "l_suppkey",
-        F.year("l_shipdate").alias("year"), F.try_divide("l_extendedprice", "l_quantity").alias("price_per_meter"))
-    prices = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        "price_id", F.col("n_name").alias("neighborhood_name"), "year", "price_per_meter")
+        "l_orderkey", "l_linenumber", "l_suppkey", F.year("l_shipdate").alias("year"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("price_per_meter")).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", nth).alias("price_id"), "l_suppkey", "year", "price_per_meter")
+    # the lines are numbered once, not for every drop
+    numbered = scratch_path(spark, "numbered-prices")
+    lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "price_id", F.col("n_name").alias("neighborhood_name"), "year", "price_per_meter").write.parquet(numbered)
+    prices = spark.read.parquet(numbered)
     accidents = _incident_landing(spark, d).select(
         F.col("o_orderkey").alias("expedient_id"), F.col("c_nationkey").alias("neighborhood_id"),
         F.col("n_name").alias("neighborhood_name"), "year", F.col("victims").alias("num_victims"),
@@ -135,9 +139,9 @@ def unified_incremental(spark, d):
     for drop in range(3):
         for name, (rows, key, spec, year, wrong) in sources.items():
             batch = _dropped(rows, key, wrong)[drop].withColumn("drop", F.lit(drop))
-            json_writer(batch).json(f"{root}/landing/{name}/drop{drop}")
+            json_writer(batch).option("compression", "gzip").json(f"{root}/landing/{name}/drop{drop}")
             incremental_load(spark, f"{root}/landing/{name}", f"{root}/ledger/{name}", f"{root}/formatted/{name}",
                              batch.schema, key, version=["drop"], partition_col=year, year_col=year,
-                             changes=True)
+                             pattern="*.json.gz", changes=True)
             states[name] = maintain.maintain(spark, f"{root}/formatted/{name}", f"{root}/state/{name}", spec)
     return rounded(maintain.unified_from_states(states["prices"], states["incidents"], states["sites"], ay.AS_OF))

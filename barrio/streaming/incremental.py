@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barrio.session import scratch_path
 from barrio.sources.files import list_files, read_jsonl
 from barrio.sources.ledger import LEDGER_SCHEMA, append_ledger, pending_files, read_ledger
 from barrio.sources.upsert import upsert
@@ -33,8 +34,11 @@ def incremental_load(spark: SparkSession, landing: str, ledger_path: str, table_
         return spark.createDataFrame([], LEDGER_SCHEMA)
     batch = (read_jsonl(spark, [f["path"] for f in files], schema)
              .withColumn("_src_path", F.col("_metadata.file_path"))
-             .withColumn("_src_mtime", F.col("_metadata.file_modification_time"))
-             .checkpoint(eager=True))      # one parse of the raw files (upsert + stats)
+             .withColumn("_src_mtime", F.col("_metadata.file_modification_time")))
+    # one parse of the raw files (upsert + stats); columnar, as each row names its file
+    parsed = scratch_path(spark, "parsed")
+    batch.write.parquet(parsed)
+    batch = spark.read.schema(batch.schema).parquet(parsed)
     upsert(spark, batch, table_path, keys,
            version or [F.col("_src_mtime"), F.col("_src_path")], partition_col, key_buckets, changes)
     last = F.max(year_col).cast("int") if year_col else F.lit(None).cast("int")
