@@ -95,14 +95,14 @@ def _train(spark: SparkSession, table: str, models: str, registry: str | None) -
     from pyspark.ml import PipelineModel
     from pyspark.sql import functions as F
 
-    from barrio.operators.models import TRAIN_ORDER, tune
+    from barrio.operators.models import TRAIN_ORDER, WEIGHT, tune
     from barrio.operators.registry import champion, leaderboard, register, save_model
     from barrio.plans.ml import prepare
     frame = spark.read.parquet(table).withColumn("_row_key", F.concat_ws("|", "neighborhood_name", "year"))
     p = prepare(frame, ["_row_key"])
     results, paths = [], {}
     for fam in TRAIN_ORDER:
-        r = tune(fam, p.train, p.validation)
+        r = tune(fam, p.train, p.validation, weight=WEIGHT)
         paths[fam] = save_model(PipelineModel(stages=[*p.prep.stages, *r.model.stages]), f"{models}/{fam}")
         results.append(r)
     board = leaderboard(spark, results, paths)

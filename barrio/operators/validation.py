@@ -71,20 +71,24 @@ class RollingResult:
 
 
 def rolling_search(family: str, frame: DataFrame, time: str, prepare: Callable[[DataFrame, DataFrame], tuple],
-                   origins: int = ORIGINS, grid: dict[str, list] | None = None, label: str = LABEL) -> RollingResult:
+                   origins: int = ORIGINS, grid: dict[str, list] | None = None, label: str = LABEL,
+                   weight: str | None = None) -> RollingResult:
     """The grid point with the best mean accuracy over the origins.
 
     ``prepare(train, validation)`` fits what must be fitted on the train rows
-    and returns both sides with ``features`` and the label.
+    and returns both sides with ``features``, the label and ``weight``, if named:
+    the rows that a row stands for.
     """
     est, grid = estimator(family, label), GRIDS[family] if grid is None else grid
+    if weight is not None:
+        est = est.setWeightCol(weight)
     maps = param_grid(est, grid)
     found: list[Origin] = []
     for t in origin_times(frame, time, origins):
         train, validation = prepare(frame.where(F.col(time) < t), frame.where(F.col(time) == t))
         for i, model in est.fitMultiple(train, maps):
             params = {p.name: v for p, v in maps[i].items()}
-            found.append(Origin(t, params, classification_metrics(model.transform(validation), label)))
+            found.append(Origin(t, params, classification_metrics(model.transform(validation), label, weight=weight)))
     if not found:
         raise ValueError(f"no {time!r} has earlier ones to train on")
     mean = {}
